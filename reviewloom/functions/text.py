@@ -58,13 +58,25 @@ def clean_html_text(c: Column) -> Column:
     return collapse(F.regexp_replace(unescape_entities(F.coalesce(c, F.lit(""))), "<[^>]+>", " "))
 
 
+# Elements whose content is not text of the page (fixed values).
+_NO_TEXT = {"script", "style", "template", "rt", "rp"}
+
+
 class _TextNodes(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.parts: list[str] = []
+        self.hidden = 0
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in _NO_TEXT
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in _NO_TEXT and self.hidden > 0
 
     def handle_data(self, data):
-        self.parts.append(data)
+        if not self.hidden:
+            self.parts.append(data)
 
 
 @F.pandas_udf(StringType())

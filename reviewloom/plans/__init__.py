@@ -1,4 +1,4 @@
 """Registered queries: each one an operator of the library on the given tables."""
 
 from .registry import ORACLES, QUERIES  # noqa: F401
-from . import score_queries  # noqa: F401
+from . import score_queries, scalar_queries  # noqa: F401
