@@ -19,8 +19,7 @@ def safe_float(c: Column) -> Column:
 
 def percent(part: Column, total: Column) -> Column:
     """Whole percent, half-even, 0 for an empty total."""
-    share = F.when(total > 0, F.bround(F.lit(100) * part / F.nullif(total, F.lit(0)), 0))
-    return F.coalesce(share, F.lit(0)).cast("int")
+    return F.coalesce(F.bround(F.try_divide(part * 100, total), 0), F.lit(0.0)).cast("int")
 
 
 def thousands(c: Column, mark: str) -> Column:

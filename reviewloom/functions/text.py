@@ -32,20 +32,26 @@ def is_blank(c: Column) -> Column:
 
 def _loose_marks_to_blanks(c: Column) -> Column:
     """``.`` and ``/`` survive only between two digits."""
-    return F.regexp_replace(c, r"(?<!\p{Nd})[./]|[./](?!\p{Nd})", " ")
+    return F.regexp_replace(c, r"[./](?:(?!\p{Nd})|(?<!\p{Nd}[./]))", " ")
+
+
+def _keep_letters(c: Column, ascii_kept: str) -> Column:
+    """Drops all but ``ascii_kept``, Vietnamese letters and white space. The
+    lookahead lets plain letters pass without testing the long class."""
+    return F.regexp_replace(c, f"(?![{ascii_kept}])[^{VIETNAMESE_LETTERS}{WS}]", "")
 
 
 def clean_review_text(c: Column) -> Column:
     text = F.lower(F.coalesce(c, F.lit("")))
     for short, full in ABBREVIATIONS:
-        text = F.regexp_replace(text, f"(?<![{WORD}])(?:{short})(?![{WORD}])", full)
-    text = _loose_marks_to_blanks(text)
-    return collapse(F.regexp_replace(text, f"[^a-z0-9{VIETNAMESE_LETTERS}{WS}]", ""))
+        # The literal comes first: most positions fail on one character.
+        text = F.regexp_replace(text, f"(?:{short})(?![{WORD}])(?<![{WORD}](?:{short}))", full)
+    return collapse(_keep_letters(_loose_marks_to_blanks(text), "a-z0-9 "))
 
 
 def clean_label_text(c: Column) -> Column:
     text = _loose_marks_to_blanks(F.lower(F.coalesce(c, F.lit(""))))
-    return collapse(F.regexp_replace(text, f"[^a-z0-9{VIETNAMESE_LETTERS}{WS}./]", ""))
+    return collapse(_keep_letters(text, "a-z0-9 ./"))
 
 
 @F.pandas_udf(StringType())

@@ -14,7 +14,7 @@ def dot(a: Column, b: Column) -> Column:
 def l2_normalize(v: Column) -> Column:
     """Unit length; the zero vector stays as it is."""
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    scaled = F.transform(v, lambda x: x.cast("double") / F.nullif(norm, F.lit(0.0)))
+    scaled = F.transform(v, lambda x: F.try_divide(x.cast("double"), norm))
     return F.when(norm > 0, scaled).otherwise(F.transform(v, lambda x: x.cast("double")))
 
 

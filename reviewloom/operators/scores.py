@@ -9,7 +9,7 @@ from ..functions.numbers import percent
 
 
 def _score(pos, neg):
-    return F.bround((pos - neg) / F.nullif(pos + neg, F.lit(0)), 3)
+    return F.bround(F.try_divide(pos - neg, pos + neg), 3)
 
 
 def aspect_counts(reviews: DataFrame) -> DataFrame:

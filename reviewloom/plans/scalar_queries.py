@@ -12,7 +12,7 @@ from .registry import query
 from .score_queries import satisfaction, wide_scores
 
 # --- text, as SQL ------------------------------------------------------------
-_KEPT_DOT, _KEPT_SLASH = "", ""
+_KEPT_DOT, _KEPT_SLASH = "\ue000", "\ue001"
 
 
 def sql_collapse(e):
@@ -78,21 +78,24 @@ def clean_html_text(spark, sf_dir):
     return b.table(spark, sf_dir, "pages").select("page_id", text.clean_html_text(F.col("html")).alias("text"))
 
 
-_NO_MARKUP = r"regexp_replace(html, '(?is)<!doctype[^>]*>|<!--.*?-->|<script.*?</script>|<style.*?</style>|<template.*?</template>', ' ', 'g')"
+def sql_html_text(e):
+    hidden = "(?is)<!doctype[^>]*>|<!--.*?-->|<script.*?</script>|<style.*?</style>|<template.*?</template>"
+    bare = f"regexp_replace({e}, '{hidden}', ' ', 'g')"
+    return sql_collapse(sql_unescape(f"regexp_replace({bare}, '<[^>]+>', ' ', 'g')"))
 
 
-@query("html_to_text", "SELECT page_id, " + sql_collapse(
-    sql_unescape(f"regexp_replace({_NO_MARKUP}, '<[^>]+>', ' ', 'g')")) + " AS text FROM pages")
-def html_to_text(spark, sf_dir):
-    return b.table(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("text"))
+def sql_boilerplate(e):
+    for phrase in BOILERPLATE:
+        e = f"replace({e}, '{phrase}', '')"
+    return e
 
 
-_boiler = "text"
-for _p in BOILERPLATE:
-    _boiler = f"replace({_boiler}, '{_p}', '')"
+@query("html_to_text", f"SELECT page_id, {sql_html_text('html')} AS text FROM pages")
+def html_to_text(spark, sf_dir):
+    return b.table(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("text"))
 
 
-@query("strip_boilerplate", f"SELECT doc_id, {sql_collapse(_boiler)} AS text FROM documents")
+@query("strip_boilerplate", f"SELECT doc_id, {sql_collapse(sql_boilerplate('text'))} AS text FROM documents")
 def strip_boilerplate(spark, sf_dir):
     return b.table(spark, sf_dir, "documents").select("doc_id", text.strip_boilerplate(F.col("text")).alias("text"))
 
