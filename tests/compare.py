@@ -62,10 +62,12 @@ SPARK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string
 
 
 def compare(spark, con, sf_dir, fn, sql):
+    start = time.time()
     df = fn(spark, sf_dir)
     got_cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    spent = f"spark {time.time() - start:.2f}s "
     if sql is None:
-        return True, f"rows only: {sum(got.values())}"
+        return True, spent + f"rows only: {sum(got.values())}"
     cur = con.execute(sql)
     want_types = {d[0]: str(d[1]) for d in cur.description}
     want_cols, want = rows_of([d[0] for d in cur.description], cur.fetchall())
@@ -78,7 +80,7 @@ def compare(spark, con, sf_dir, fn, sql):
         only_got, only_want = list((got - want).items())[:3], list((want - got).items())[:3]
         return False, (f"rows {sum(got.values())} vs {sum(want.values())}, differ {sum((got - want).values())}"
                        f"\n   cols  {got_cols}\n   spark {only_got}\n   duck  {only_want}")
-    return True, f"{sum(got.values())} rows"
+    return True, spent + f"{sum(got.values())} rows"
 
 
 def main():
