@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..constants import ASPECT_DOC_NAMES, ASPECT_REPORT_NAMES, ASPECTS
 from ..operators import conversations, documents as d, merge, ranking
+from ..session import materialize, shared_dir
 from . import bindings as b
 from .registry import query
 from .scalar_queries import OVERALL_SQL, REPORT_MARK_SQL, REPORT_NOTE_SQL, VERDICT_SQL, sql_clean_html, sql_strip
@@ -93,15 +94,22 @@ def delta(spark, sf_dir):
     return merge.delta_reviews(pending(spark, sf_dir), ["source_file", "review_id"])
 
 
+def stored_scores(spark, sf_dir):
+    """Scores as a stored table: three kinds of documents read them."""
+    return materialize(wide_scores(spark, sf_dir), "scores")
+
+
 def all_documents(spark, sf_dir):
     return d.build_documents(
-        b.described_products(spark, sf_dir), b.labeled_reviews(spark, sf_dir), wide_scores(spark, sf_dir))
+        b.described_products(spark, sf_dir), b.labeled_reviews(spark, sf_dir), stored_scores(spark, sf_dir))
 
 
 def delta_documents(spark, sf_dir):
+    """Scores and the day's reviews are stored once and read several times."""
+    day = materialize(pending(spark, sf_dir), "pending")
     return d.build_delta_documents(
-        b.described_products(spark, sf_dir), b.labeled_reviews(spark, sf_dir), wide_scores(spark, sf_dir),
-        merge.affected_ids(pending(spark, sf_dir)), delta(spark, sf_dir))
+        b.described_products(spark, sf_dir), b.labeled_reviews(spark, sf_dir), stored_scores(spark, sf_dir),
+        merge.affected_ids(day), merge.delta_reviews(day, ["source_file", "review_id"]))
 
 
 def flat(docs, *extra):
@@ -187,13 +195,12 @@ def unique_id_check(spark, sf_dir):
     SELECT id, doc_type, product_id, content FROM base_docs WHERE product_id NOT IN (SELECT product_id FROM delta_docs)
     UNION ALL SELECT * FROM delta_docs"""))
 def kb_replace_products(spark, sf_dir):
-    return merge.kb_replace(flat(all_documents(spark, sf_dir)), flat(delta_documents(spark, sf_dir)))
+    fresh = materialize(flat(delta_documents(spark, sf_dir)), "delta-documents")
+    return merge.kb_replace(flat(all_documents(spark, sf_dir)), fresh)
 
 
 @query("kb_full_rebuild", b.sql(["base_docs"], "SELECT id, doc_type, product_id, content FROM base_docs"))
 def kb_full_rebuild(spark, sf_dir):
-    from ..session import shared_dir
-
     path = shared_dir(spark, "kb")
     merge.kb_rebuild(flat(all_documents(spark, sf_dir)), path)
     return spark.read.parquet(path).drop("bucket")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..constants import ASPECTS, CHUNK_SIZE, FINAL_COLUMNS, WS
 from ..functions import text
 from ..operators import conversations, evaluation, flatten, layout, merge, ranking
-from ..session import shared_dir
+from ..session import materialize, shared_dir
 from . import bindings as b
 from .document_queries import details
 from .project_queries import BASE_URL, raw_review_pages
@@ -255,7 +255,8 @@ def product_list_dedup(spark, sf_dir):
     SELECT s.product_id, s.position // 20 + 1 AS page, (s.position % 20)::INTEGER AS at, s.rating FROM served s
     LEFT JOIN stops USING (product_id) WHERE stop IS NULL OR s.position < stop"""))
 def take_while_recent(spark, sf_dir):
-    served = flatten.flatten_reviews(raw_review_pages(spark, sf_dir))
+    # Crawled pages are stored before they are read.
+    served = flatten.flatten_reviews(materialize(raw_review_pages(spark, sf_dir), "pages"))
     cutoff = b.table(spark, sf_dir, "orders").agg(F.max("o_orderdate").cast("timestamp") - F.expr("INTERVAL 2000 DAYS")).scalar()
     return ranking.take_while_recent(served, "created_ts", cutoff, "place").select(
         "product_id", "place.page", "place.at", "rating")
