@@ -78,6 +78,11 @@ WS = (
     r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+# The same characters as a plain string, for trimming.
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+)
 WORD = r"\p{L}\p{N}_"
 
 # --- catalogue detail columns (fixed values) --------------------------------

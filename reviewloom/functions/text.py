@@ -12,7 +12,7 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
 from ..constants import (
-    ABBREVIATIONS, BOILERPLATE, SHORTENED_MARK, VIETNAMESE_LETTERS, WORD, WS,
+    ABBREVIATIONS, BOILERPLATE, SHORTENED_MARK, VIETNAMESE_LETTERS, WORD, WS, WS_CHARS,
 )
 
 
@@ -23,7 +23,7 @@ def collapse(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Unicode white space removed from both ends."""
-    return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")
+    return F.trim(c, F.lit(WS_CHARS))
 
 
 def is_blank(c: Column) -> Column:
@@ -111,7 +111,7 @@ def strip_boilerplate(c: Column) -> Column:
 def compact_text(c: Column, limit: int) -> Column:
     """Trimmed; longer texts are cut at ``limit`` and marked."""
     text = strip(F.coalesce(c, F.lit("")))
-    cut = F.regexp_replace(F.substring(text, 1, limit), f"[{WS}]+$", "")
+    cut = F.rtrim(F.substring(text, 1, limit), F.lit(WS_CHARS))
     return F.when(F.length(text) > limit, F.concat(cut, F.lit(SHORTENED_MARK))).otherwise(text)
 
 

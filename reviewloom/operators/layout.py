@@ -12,6 +12,14 @@ BLOCK_ROWS = 100_000
 SALTS = 32
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spreads a table that comes in too few pieces to occupy the cluster, such
+    as one file with a single row group, before costly work on each row. A
+    table with enough pieces stays where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """One row per key, the first in ``order``. The limit of one row per key is
     applied before the shuffle as well, so a hot key sends one row per task."""

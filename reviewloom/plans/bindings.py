@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..constants import ASPECTS
 from ..functions.labels import LABEL_TYPE
+from ..operators.layout import spread
 
 SENTIMENT_OF_FLAG = {"A": "positive", "N": "neutral", "R": "negative"}
 CHAT_LINK = "https://shop.example.com/item-p"
@@ -25,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark, sf_dir, name) -> DataFrame:
+    """A table whose rows are costly to work on, over all cores."""
+    keys = {"documents": "doc_id", "pages": "page_id", "part": "p_partkey", "embeddings": "vec_id"}
+    return spread(table(spark, sf_dir, name), keys[name])
+
+
 def rows_in(df: DataFrame) -> Column:
     """Row count as a scalar subquery."""
     return df.agg(F.count("*")).scalar()
@@ -52,8 +59,12 @@ def review_heads(spark, sf_dir) -> DataFrame:
 
 
 def reviews(spark, sf_dir) -> DataFrame:
+    return with_content(spread(review_heads(spark, sf_dir), "review_id"), spark, sf_dir)
+
+
+def with_content(heads, spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    heads = review_heads(spark, sf_dir).withColumn("doc_id", F.col("review_id") % rows_in(docs))
+    heads = heads.withColumn("doc_id", F.col("review_id") % rows_in(docs))
     return heads.join(docs.select("doc_id", F.col("text").alias("content")), "doc_id").drop("doc_id")
 
 
@@ -123,7 +134,9 @@ def products(spark, sf_dir) -> DataFrame:
 def described_products(spark, sf_dir) -> DataFrame:
     """Products with a raw HTML description."""
     pages = table(spark, sf_dir, "pages")
-    found = products(spark, sf_dir).withColumn("page_id", F.col("product_id") % rows_in(pages))
+    # Small rows go over all cores before the long descriptions are attached.
+    cores = spark.sparkContext.defaultParallelism
+    found = products(spark, sf_dir).repartition(cores, "product_id").withColumn("page_id", F.col("product_id") % rows_in(pages))
     return found.join(pages.select("page_id", F.col("html").alias("short_description")), "page_id").drop("page_id")
 
 

@@ -164,7 +164,7 @@ PROFILED = {
 
 def _with_gaps(spark, sf_dir):
     """Documents with NULLs and a constant column, as raw details have."""
-    docs = b.table(spark, sf_dir, "documents")
+    docs = b.text_table(spark, sf_dir, "documents")
     return docs.select(
         "doc_id", F.when(F.col("lang") != "de", F.col("text")).alias("text"), F.nullif("lang", F.lit("es")).alias("lang"),
         F.lit("web").alias("channel"), F.lit(None).cast("string").alias("short_name"))
@@ -196,7 +196,7 @@ def constant_columns(spark, sf_dir):
 @query("duplicate_rows", """
     SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT text, lang, source FROM documents)) AS duplicates FROM documents""")
 def duplicate_rows(spark, sf_dir):
-    return profiling.duplicate_rows(b.table(spark, sf_dir, "documents").select("text", "lang", "source"))
+    return profiling.duplicate_rows(b.text_table(spark, sf_dir, "documents").select("text", "lang", "source"))
 
 
 @query("table_profile", b.sql(["gaps"], " UNION ALL ".join(
@@ -219,7 +219,7 @@ _WORDS = r"len(list_filter(regexp_split_to_array(text, '[%s]+'), lambda w: w <>
 
 
 def _lengths(spark, sf_dir):
-    return b.table(spark, sf_dir, "documents").select("doc_id", text.word_count(F.col("text")).alias("words"))
+    return b.text_table(spark, sf_dir, "documents").select("doc_id", text.word_count(F.col("text")).alias("words"))
 
 
 def _words_sql():

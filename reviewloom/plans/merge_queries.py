@@ -280,7 +280,7 @@ def chunk_progress(spark, sf_dir):
 
 # --- tokens -----------------------------------------------------------------------------------
 def tokens(spark, sf_dir):
-    return b.table(spark, sf_dir, "documents").select(
+    return b.text_table(spark, sf_dir, "documents").select(
         "doc_id", F.posexplode(text.words(F.lower("text"))).alias("pos", "token"))
 
 

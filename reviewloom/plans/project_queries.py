@@ -44,7 +44,7 @@ def raw_products(spark, sf_dir):
 def raw_review_pages(spark, sf_dir, per_page=REVIEWS_PER_PAGE):
     """(product_id, page, payload JSON) in the order of review ids; reviews
     rated 1 are blank, orders of status P have no author."""
-    placed = with_position(b.reviews(spark, sf_dir), "review_id", ["product_id"])
+    placed = b.with_content(with_position(b.review_heads(spark, sf_dir), "review_id", ["product_id"]), spark, sf_dir)
     item = F.struct(
         F.col("position").alias("at"),
         F.when(F.col("rating") == 1, F.lit("  ")).otherwise(F.concat(F.lit("\n"), F.col("content"))).alias("content"),
@@ -126,7 +126,7 @@ def ai_summary_coalesce(spark, sf_dir):
     payload = F.to_json(F.struct(
         F.coalesce(at("en"), F.lit("")).alias("ai_generated_summary"),
         F.struct(at("fr").alias("review_summary"), at("de").alias("ai_summary")).alias("meta")))
-    return b.table(spark, sf_dir, "documents").select("doc_id", flatten.ai_summary(payload).alias("summary"))
+    return b.text_table(spark, sf_dir, "documents").select("doc_id", flatten.ai_summary(payload).alias("summary"))
 
 
 _DESCRIPTION = sql_collapse(sql_boilerplate(sql_html_text("short_description")))
@@ -165,7 +165,7 @@ def label_wide_table(spark, sf_dir):
 @query("nonempty_clean_filter", f"""
     SELECT * FROM (SELECT doc_id, {sql_clean_review('text')} AS clean_content FROM documents) WHERE clean_content <> ''""")
 def nonempty_clean_filter(spark, sf_dir):
-    cleaned = b.table(spark, sf_dir, "documents").select(
+    cleaned = b.text_table(spark, sf_dir, "documents").select(
         "doc_id", text.clean_review_text(F.col("text")).alias("clean_content"))
     return cleaned.filter(~text.is_blank(F.col("clean_content")))
 

@@ -63,19 +63,19 @@ def sql_quote(s):
 
 @query("clean_review_text", f"SELECT doc_id, {sql_clean_review('text')} AS clean_content FROM documents")
 def clean_review_text(spark, sf_dir):
-    return b.table(spark, sf_dir, "documents").select(
+    return b.text_table(spark, sf_dir, "documents").select(
         "doc_id", text.clean_review_text(F.col("text")).alias("clean_content"))
 
 
 @query("clean_label_text", f"SELECT doc_id, {sql_clean_label('text')} AS normalized_content FROM documents")
 def clean_label_text(spark, sf_dir):
-    return b.table(spark, sf_dir, "documents").select(
+    return b.text_table(spark, sf_dir, "documents").select(
         "doc_id", text.clean_label_text(F.col("text")).alias("normalized_content"))
 
 
 @query("clean_html_text", f"SELECT page_id, {sql_clean_html('html')} AS text FROM pages")
 def clean_html_text(spark, sf_dir):
-    return b.table(spark, sf_dir, "pages").select("page_id", text.clean_html_text(F.col("html")).alias("text"))
+    return b.text_table(spark, sf_dir, "pages").select("page_id", text.clean_html_text(F.col("html")).alias("text"))
 
 
 def sql_html_text(e):
@@ -92,12 +92,12 @@ def sql_boilerplate(e):
 
 @query("html_to_text", f"SELECT page_id, {sql_html_text('html')} AS text FROM pages")
 def html_to_text(spark, sf_dir):
-    return b.table(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("text"))
+    return b.text_table(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("text"))
 
 
 @query("strip_boilerplate", f"SELECT doc_id, {sql_collapse(sql_boilerplate('text'))} AS text FROM documents")
 def strip_boilerplate(spark, sf_dir):
-    return b.table(spark, sf_dir, "documents").select("doc_id", text.strip_boilerplate(F.col("text")).alias("text"))
+    return b.text_table(spark, sf_dir, "documents").select("doc_id", text.strip_boilerplate(F.col("text")).alias("text"))
 
 
 def sql_compact(e, limit):
@@ -109,7 +109,7 @@ def sql_compact(e, limit):
     {sql_compact('text', 2500)} AS assistant_text FROM documents""")
 def truncate_text(spark, sf_dir):
     c = F.col("text")
-    return b.table(spark, sf_dir, "documents").select(
+    return b.text_table(spark, sf_dir, "documents").select(
         "doc_id", F.substring(c, 1, 200).alias("sample"), text.compact_text(c, 1200).alias("user_text"),
         text.compact_text(c, 2500).alias("assistant_text"))
 
@@ -117,7 +117,7 @@ def truncate_text(spark, sf_dir):
 @query("word_count", f"SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(text, '[{WS}]+'), lambda w: w <> '')) "
                      "AS INTEGER) AS words FROM documents")
 def word_count(spark, sf_dir):
-    return b.table(spark, sf_dir, "documents").select("doc_id", text.word_count(F.col("text")).alias("words"))
+    return b.text_table(spark, sf_dir, "documents").select("doc_id", text.word_count(F.col("text")).alias("words"))
 
 
 # --- numbers and times ---------------------------------------------------------
@@ -170,7 +170,7 @@ def parse_timestamp(spark, sf_dir):
         nullif(regexp_extract({sql_strip('url')}, '^([0-9]+)$', 1), '')) AS product_id FROM pages
     UNION ALL SELECT 'chat', conv_id, turn, nullif(regexp_extract(text, '(?:-p|pid=)([0-9]+)', 1), '') FROM chat"""))
 def extract_product_id(spark, sf_dir):
-    pages = b.table(spark, sf_dir, "pages").select(
+    pages = b.text_table(spark, sf_dir, "pages").select(
         F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.lit(0).cast("bigint").alias("turn"),
         identifiers.extract_product_id(F.col("url")).alias("product_id"))
     chats = b.chat(spark, sf_dir).select(
@@ -355,7 +355,7 @@ _SPELL_BATCH = 20
            THEN line ELSE upper(line) END AS line
     FROM lines WHERE line <> '' WINDOW w AS (PARTITION BY doc_id // {_SPELL_BATCH})""")
 def realign_batch_lines(spark, sf_dir):
-    lines = b.table(spark, sf_dir, "documents").select(
+    lines = b.text_table(spark, sf_dir, "documents").select(
         "doc_id", "lang", text.clean_label_text(F.col("text")).alias("line")).filter("line <> ''")
     batches = lines.groupBy(F.floor(F.col("doc_id") / _SPELL_BATCH).alias("batch")).agg(
         F.sort_array(F.collect_list(F.struct("doc_id", "lang", "line"))).alias("rows"))

@@ -92,7 +92,7 @@ def _bm25(queries, name):
 
 
 def lexical(spark, sf_dir, queries, k):
-    docs = b.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = b.text_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
     return search.lexical_topk(docs, queries, k)
 
 
@@ -114,7 +114,7 @@ _TYPE_TEXTS = """SELECT label::BIGINT AS query_id, text FROM (SELECT label, min(
 def type_texts(spark, sf_dir):
     first = b.table(spark, sf_dir, "embeddings").groupBy(F.col("label").cast("bigint").alias("query_id")).agg(
         F.min("vec_id").alias("doc_id"))
-    return first.join(b.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("query_id", "text")
+    return first.join(b.text_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("query_id", "text")
 
 
 @query("hybrid_topk", b.sql(["knn"], _bm25(_TYPE_TEXTS, "lexical") + """
@@ -169,7 +169,7 @@ def _context_sql():
     JOIN documents d ON d.doc_id = k.id % (SELECT count(*) FROM documents)
     WHERE rank <= 5 GROUP BY query_id"""))
 def rag_context(spark, sf_dir):
-    docs = b.table(spark, sf_dir, "documents")
+    docs = b.text_table(spark, sf_dir, "documents")
     texts = docs.select("doc_id", "text")
     hits = top(spark, sf_dir, 5).drop(*[f"absa_{a}_score" for a in ("quality", "price")]).withColumn(
         "doc_id", F.col("id") % b.rows_in(docs)).join(texts, "doc_id")
