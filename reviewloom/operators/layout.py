@@ -101,15 +101,13 @@ def previous_rows(df: DataFrame, keys: list[str], order: str, item: Column, n: i
                   block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Array of the ``n`` items before each row, oldest first, within ``keys``.
 
-    Every block also receives the ``n`` rows in front of it, so a long group is
+    Every block also gets the ``n`` rows in front of it, so a long group is
     handled by many tasks and none sees more than ``block_rows + n`` rows.
     """
     placed = with_position(df, order, keys, "_at", block_rows).withColumn("_item", item)
     home = F.floor(F.col("_at") / block_rows)
-    copies = placed.withColumn(
-        "_block",
-        F.explode(F.when(F.col("_at") % block_rows >= block_rows - n, F.array(home, home + 1)).otherwise(F.array(home))),
-    )
+    last = F.floor((F.col("_at") + n) / block_rows)
+    copies = placed.withColumn("_block", F.explode(F.sequence(home, last)))
     window = Window.partitionBy(*keys, "_block").orderBy("_at").rowsBetween(-n, -1)
     return (
         copies.withColumn(name, F.collect_list("_item").over(window))
