@@ -24,6 +24,8 @@ from .layout import top_per_key
 from .merge import concat_parts
 
 QUERY_BLOCK = 2048
+# A text query brings its words along, so its blocks are smaller.
+TEXT_QUERY_BLOCK = 256
 ROW_BLOCK = 1024
 DIGITS = 12
 
@@ -203,18 +205,27 @@ def vector_lsh_topk(points: DataFrame, queries: DataFrame, k: int, dim: int, tab
     """Approximate top-k: only points sharing a bucket with the query are
     compared exactly.
 
-    A pair is made once, in the first table it shares. Points are not moved:
-    the probes of the queries, a few rows per query, go to the points.
+    A pair is made once, in the first table it shares. Points are not moved,
+    however full a bucket is: the probes of a block of queries, at most
+    ``QUERY_BLOCK * tables`` rows, are sent to the points.
     """
+    spark = points.sparkSession
     hashed = lsh_buckets(points.select("id", "embedding"), dim, tables, bits)
-    probes = lsh_buckets(queries.select("query_id", "embedding"), dim, tables, bits).select(
-        "query_id", F.col("embedding").alias("q"), F.col("buckets").alias("qb"),
-        F.posexplode("buckets").alias("table", "bucket"))
-    spread = hashed.select("id", "embedding", "buckets", F.posexplode("buckets").alias("table", "bucket"))
+    placed = hashed.select("id", "embedding", "buckets", F.posexplode("buckets").alias("table", "bucket"))
     same = F.array_position(F.zip_with("buckets", "qb", lambda a, z: a == z), True) - 1
-    pairs = spread.join(probes, ["table", "bucket"]).filter(same == F.col("table"))
-    scored = pairs.select("query_id", "id", dot(F.col("embedding"), F.col("q")).alias("score"))
-    return top_per_key(scored, ["query_id"], [F.desc("score"), F.asc("id")], k)
+    parts = []
+    for rows in _query_blocks(queries.select("query_id", "embedding")):
+        block = spark.createDataFrame(
+            [(r.query_id, [float(x) for x in r.embedding]) for r in rows], "query_id bigint, embedding array<double>")
+        probes = lsh_buckets(block, dim, tables, bits).select(
+            "query_id", F.col("embedding").alias("q"), F.col("buckets").alias("qb"),
+            F.posexplode("buckets").alias("table", "bucket"))
+        pairs = placed.join(F.broadcast(probes), ["table", "bucket"]).filter(same == F.col("table"))
+        scored = pairs.select("query_id", "id", dot(F.col("embedding"), F.col("q")).alias("score"))
+        parts.append(top_per_key(scored, ["query_id"], [F.desc("score"), F.asc("id")], k))
+    if not parts:
+        return spark.createDataFrame([], "query_id bigint, id bigint, score double, rank int")
+    return concat_parts(parts)
 
 
 # --- lexical and fused search ------------------------------------------------------
@@ -234,7 +245,7 @@ def lexical_topk(docs: DataFrame, queries: DataFrame, k: int, k1: float = 1.2, b
     tokens = docs.select("id", terms(F.col("text")).alias("terms"))
     figures = tokens.agg(F.count("*").alias("n"), F.avg(F.size("terms")).alias("mean")).first()
     parts = []
-    for rows in _query_blocks(queries.select("query_id", terms(F.col("text")).alias("terms"))):
+    for rows in _query_blocks(queries.select("query_id", terms(F.col("text")).alias("terms")), TEXT_QUERY_BLOCK):
         names = sorted({t for r in rows for t in r.terms})
         if not names or not figures.n:
             continue
