@@ -97,7 +97,10 @@ def labeled_heads(spark, sf_dir) -> DataFrame:
 
 
 def labeled_reviews(spark, sf_dir) -> DataFrame:
-    return _with_labels(reviews(spark, sf_dir), spark, sf_dir)
+    """Labels meet the short rows; the texts come last and are not shuffled
+    for them. The pieces are made before, so that work on texts uses all cores."""
+    cores = spark.sparkContext.defaultParallelism
+    return with_content(labeled_heads(spark, sf_dir).repartition(cores, "review_id"), spark, sf_dir)
 
 
 def label_items(spark, sf_dir) -> DataFrame:
