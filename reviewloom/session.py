@@ -26,11 +26,15 @@ def build_session(app: str = "reviewloom", cores: int | str = "*", **conf) -> Sp
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names storage every executor can reach. Only where
-    it is unset, as in a local test, a temporary folder takes its place.
+    ``spark.checkpoint.dir`` names storage every executor can reach. Where it is unset, a local
+    session (one process) gets a temporary folder; a cluster gets an error, as there no machine's own
+    folder would do.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="reviewloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
