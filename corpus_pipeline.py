@@ -2,22 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewloom.llm import minhash_dedup
+from reviewloom.llm import minhash_dedup, mixing, packing, quality_rules
 from reviewloom.session import materialize
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep, without the lines that many documents of their source share."""
+    return quality_rules.clean(docs)
+
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return minhash_dedup.drop_near_duplicates(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target weight takes it."""
+    return mixing.mixed(docs, mixing.n_words())
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in which training sequence."""
+    cut = packing.pieces(docs, TOKENIZER).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(materialize(cut, "pieces"))
+
+
 STAGES = [
+    ("quality_rules", keep_good),
     ("near_duplicates", drop_near_duplicates),
+    ("mix_sources", mix_sources),
+    ("pack_sequences", pack_sequences),
 ]
 
-#: Tokens and near duplicates by links of links are beyond SQL; the tests use a brute-force version.
+#: Tokens and links of links are beyond SQL; the tests use a brute-force version.
 ORACLE_SQL = None
 
 

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import minhash_dedup
+from reviewloom.session import materialize
+from . import minhash_dedup, mixing, packing, quality_rules
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +33,64 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op2_minhash_dedup")
 def op2(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUALITY_SQL = r"""
+WITH w AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+n AS (
+  SELECT doc_id, source, text, words, len(words)::BIGINT AS n_words,
+         length(array_to_string(words, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols FROM w),
+x AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM n),
+y AS (
+  SELECT doc_id, i, word || ' ' || lead(word) OVER z || ' ' || lead(word, 2) OVER z || ' ' || lead(word, 3) OVER z
+         || ' ' || lead(word, 4) OVER z || ' ' || lead(word, 5) OVER z || ' ' || lead(word, 6) OVER z
+         || ' ' || lead(word, 7) OVER z AS eight
+  FROM x WINDOW z AS (PARTITION BY doc_id ORDER BY i)),
+p AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, eight) AS times FROM y WHERE eight IS NOT NULL),
+r AS (
+  SELECT doc_id, count(DISTINCT word)::BIGINT AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS word FROM p WHERE times > 1) GROUP BY doc_id),
+l AS (
+  SELECT doc_id, source, raw, lower(trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g'))) AS line
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS raw FROM n)
+  WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')),
+u AS (SELECT doc_id, (count(*) - count(DISTINCT raw))::BIGINT AS n_dup_lines FROM l GROUP BY doc_id),
+m AS (SELECT doc_id, arg_max(line, {'n': length(line), 'x': line}) AS longest FROM l GROUP BY doc_id),
+f AS (
+  SELECT source, line, count(DISTINCT longest) AS documents FROM l JOIN m USING (doc_id) GROUP BY source, line),
+h AS (SELECT source, count(DISTINCT longest) AS total FROM l JOIN m USING (doc_id) GROUP BY source),
+c AS (
+  SELECT f.source, line FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source
+  WHERE documents >= 20 AND documents > 0.05::DOUBLE * total),
+g AS (
+  SELECT doc_id, sum(len(regexp_extract_all(l.line, '[^\x20\x09-\x0D]+')))::BIGINT AS removed_words
+  FROM l JOIN c ON l.source IS NOT DISTINCT FROM c.source AND l.line = c.line GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+       coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed_words, 0) AS removed_words,
+       n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words)
+         AND coalesce(removed_words, 0) <= 0.7::DOUBLE * n_words AS kept
+FROM n LEFT JOIN r USING (doc_id) LEFT JOIN u USING (doc_id) LEFT JOIN g USING (doc_id)
+"""
+
+
+@query("op6_line_frequency", QUALITY_SQL)
+def op6(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("text_hash", "removed")
+
+
+@query("op7_best_fit_packing")
+def op7(spark, sf_dir):
+    cut = packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER)
+    slim = materialize(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    return packing.pack(slim)
+
+
+@query("op9_systematic_mix", mixing.SQL)
+def op9(spark, sf_dir):
+    slim = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words().alias("words"))
+    mix = mixing.mix(materialize(slim, "sizes"), F.col("words"))
+    return mix.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
