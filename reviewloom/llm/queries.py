@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewloom.session import materialize
-from . import minhash_dedup, mixing, packing, quality_rules
+from . import embedding_dedup, minhash_dedup, mixing, packing, quality_rules
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,6 +30,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: All vectors of a label against each other, on the double values, and links of links by a recursive query.
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a) USING (vec_id)
+"""
+
+
+@query("op1_embedding_dedup", EMBEDDING_SQL)
+def op1(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op2_minhash_dedup")
 def op2(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
