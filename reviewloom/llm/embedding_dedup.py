@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.session import materialize
 from .components import components
+from .groups import by_group
 from .words import constants, mix
 
 COSINE = 0.98
@@ -173,26 +174,7 @@ def _linked(cosine: float):
         return pa.RecordBatch.from_arrays(
             [pa.array(node[has]), pa.array(links[has]), pa.array(node[root[has]])], ["node", "links", "root"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            now = pa.Table.from_batches([batch])
-            held = now if held is None else pa.concat_tables([held, now])
-            starts = _starts(held)
-            if len(starts) > 1:  # the last bucket may go on in the next batch
-                yield flush(held.slice(0, starts[-1]), starts[:-1])
-                held = held.slice(starts[-1])
-        if held is not None and len(held):
-            yield flush(held, _starts(held))
-
-    def _starts(held: pa.Table) -> np.ndarray:
-        marks = [held[c].combine_chunks().to_numpy() for c in ("key", "bi", "bj")]
-        changed = np.zeros(max(len(held) - 1, 0), bool)
-        for m in marks:
-            changed |= m[1:] != m[:-1]
-        return np.concatenate([[0], np.flatnonzero(changed) + 1]).astype(np.int64) if len(held) else np.empty(0, np.int64)
-
-    return run
+    return lambda batches: by_group(batches, ["key", "bi", "bj"], flush)
 
 
 def _usable(vector: Column, label: Column) -> Column:

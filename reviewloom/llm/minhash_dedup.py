@@ -14,10 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewloom.session import materialize
 from .components import components
+from .groups import by_group
 from .words import constants, shingle_sets
 
 CHUNKS, SYMBOLS, ERRORS = 8, 4, 1
@@ -27,6 +28,14 @@ MOST_DIFFERENT = 20
 #: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 SHINGLE = 5
+#: Classes of a bucket that one task compares by signature; those of a larger bucket become one cluster.
+BUCKET = 4096
+SMALL_BUCKET = 64
+#: Sets, and shingles in them, that one task compares with each other or with as many others.
+BLOCK_SETS, BLOCK_SHINGLES = 1024, 4_000_000
+#: Sets of a cluster that every block of it gets, so that its linked parts are known as one early.
+ANCHORS = 8
+COLUMNS = 4096
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -84,52 +93,142 @@ def chunk_keys(signature: str = "signature") -> list:
         for c in range(CHUNKS) for i in range(SYMBOLS)]
 
 
-def _distance(a: str, b: str):
-    """Number of symbols that differ: each 16-bit lane of the exclusive or is folded into its lowest bit."""
-    total = F.lit(0)
-    for c in range(CHUNKS):
-        x = F.col(a)[c].bitwiseXOR(F.col(b)[c])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 8)).bitwiseAND(F.lit(0x00FF00FF00FF00FF))
-        for by in (4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, by))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
+def _close(percent: int):
+    """Sorted buckets to edges (a, b) that join what could be similar: sizes and signatures are near. Only a
+    spanning forest of each bucket comes out."""
+
+    def flush(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        node, size = rows["node"].combine_chunks().to_numpy(), rows["n_shingles"].combine_chunks().to_numpy()
+        signs = rows["signature"].combine_chunks().flatten().to_numpy().reshape(len(rows), CHUNKS).view(np.uint16)
+        ends = np.append(starts[1:], len(rows))
+
+        def near(i, j):
+            fits = 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
+            return fits & ((signs[i] != signs[j]).sum(axis=-1) <= MOST_DIFFERENT)
+
+        left, right = [], []
+        first, stop = np.repeat(starts, ends - starts), np.repeat(ends, ends - starts)
+        small = np.flatnonzero(stop - first <= SMALL_BUCKET)
+        after = stop[small] - small - 1
+        for part in np.array_split(np.arange(len(small)), max(1, int(after.sum()) >> 17)):
+            i = np.repeat(small[part], after[part])
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after[part]) - after[part], after[part])
+            fits = near(i, j)
+            left.append(i[fits])
+            right.append(j[fits])
+        for start, end in zip(starts, ends):
+            if end - start > SMALL_BUCKET:  # walk from row to row, each compared with those not reached yet
+                rest = np.arange(start, end)
+                while len(rest):
+                    queue, rest = [rest[0]], rest[1:]
+                    while queue and len(rest):
+                        i = queue.pop()
+                        fits = near(i, rest)
+                        right.append(rest[fits])
+                        left.append(np.full(len(right[-1]), i))
+                        queue.extend(rest[fits])
+                        rest = rest[~fits]
+        i, j = np.concatenate(left).astype(np.int64), np.concatenate(right).astype(np.int64)
+        pairs = np.unique(np.sort(np.stack([node[i], node[j]], axis=1), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return lambda batches: by_group(batches, ["key"], flush)
+
+
+def _shared(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of every set with every other, by products of 0/1 blocks over the shingles."""
+    flat = np.concatenate([*sets, *others])
+    _, coded, times = np.unique(flat, return_inverse=True, return_counts=True)
+    kept = np.cumsum(times > 1) - 1
+    coded, often = kept[coded], (times > 1)[coded]
+    rows = np.repeat(np.arange(len(sets) + len(others)), [len(x) for x in (*sets, *others)])[often]
+    coded = coded[often]
+    order = np.argsort(coded, kind="stable")
+    coded, rows = coded[order], rows[order]
+    total = np.zeros((len(sets), len(others)), np.float32)
+    for low in range(0, int(coded[-1]) + 1 if len(coded) else 0, COLUMNS):
+        part = slice(*np.searchsorted(coded, [low, low + COLUMNS]))
+        ones = np.zeros((len(sets) + len(others), COLUMNS), np.float32)
+        ones[rows[part], coded[part] - low] = 1
+        total += ones[:len(sets)] @ ones[len(sets):].T
     return total
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Of candidate pairs (a, b) those whose set sizes and signatures allow a link."""
-    side = lambda c: classes.select(
-        F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}"))
-    return (
-        pairs.join(side("a"), "a").join(side("b"), "b")
-        .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .filter(_distance("s_a", "s_b") <= MOST_DIFFERENT).select("a", "b", "n_a", "n_b"))
-
-
-def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of plausible pairs those that are similar by their full sets. Only texts in a pair are read."""
-    lowest = F.lit(-(2**63)).cast("long")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    first = classes.join(wanted, "node", "left_semi").select(F.coalesce("doc_id", lowest).alias("_id")).distinct()
-    found = (
-        docs.select(F.coalesce(F.col("doc_id").cast("long"), lowest).alias("_id"), F.col("text").cast("string"))
-        .join(first, "_id", "left_semi").select("text").mapInArrow(_sets(size), "node long, shingles array<long>"))
-    sets = materialize(found.dropDuplicates(["node"]), "shingles")
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"x_{c}"))
-    shared = F.size(F.array_intersect("x_a", "x_b"))
-    return (
-        pairs.join(side("b"), "b").join(side("a"), "a").withColumn("shared", shared)
-        .filter(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b"))
+def _confirmed(percent: int):
+    """Sorted groups of sets to the links found in each: rows with ``open`` against all others that have
+    another root. Only a spanning forest of a group's links comes out."""
+
+    def flush(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        node, root = rows["node"].combine_chunks().to_numpy(), rows["root"].combine_chunks().to_numpy()
+        opened = rows["open"].combine_chunks().to_numpy(zero_copy_only=False)
+        lists = rows["shingles"].combine_chunks()
+        flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]
+        found = []
+        for start, end in zip(starts, np.append(starts[1:], len(rows))):
+            mine, all_ = np.arange(start, end)[opened[start:end]], np.arange(start, end)
+            if not len(mine) or len(all_) < 2:
+                continue
+            size = at[all_ + 1] - at[all_]
+            if len(all_) == 2:  # the usual case: one pair
+                shared = np.array([[len(np.intersect1d(flat[at[start]:at[start + 1]], flat[at[start + 1]:at[end]], True))] * 2] * len(mine))
+            else:
+                pick = lambda ids: [flat[at[i]:at[i + 1]] for i in ids]
+                shared = _shared(pick(mine), pick(all_))
+            linked = 100 * shared >= percent * (size[mine - start][:, None] + size[None, :] - shared)
+            linked &= (root[mine][:, None] != root[all_][None, :]) & (node[mine][:, None] != node[all_][None, :])
+            i, j = np.nonzero(linked)
+            found.append(_forest(mine[i] - start, j, end - start) + start)
+        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], ["a", "b"])
+
+    return lambda batches: by_group(batches, ["cluster", "x", "y"], flush)
+
+
+def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """(row, smallest row it reaches) for every row of links i-j that reaches a smaller one."""
+    least = np.arange(n)
+    while True:
+        before = least.copy()
+        np.minimum.at(least, i, least[j])
+        np.minimum.at(least, j, least[i])
+        least = least[least]
+        if (least == before).all():
+            moved = np.flatnonzero(least != np.arange(n))
+            return np.stack([moved, least[moved]], axis=1)
+
+
+def _edges(index: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Edges whose components hold every pair that shares a key and could be similar."""
+    hot = index.filter(F.col("n") > BUCKET).select(F.col("node").alias("a"), F.col("m").alias("b"))
+    cold = index.filter(F.col("n") <= BUCKET).select("key", "node").join(
+        classes.select("node", "n_shingles", "signature"), "node")
+    return cold.repartition("key").sortWithinPartitions("key").mapInArrow(
+        _close(percent), "a long, b long").unionByName(hot)
+
+
+def _blocks(rows: Column, shingles: Column) -> Column:
+    return F.ceil(F.greatest(rows / BLOCK_SETS, shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _spread(of: str, by: int) -> Column:
+    """A block number below column ``of`` from the node."""
+    return F.pmod(F.xxhash64("node", F.lit(by)), F.col(of)).cast("int")
+
+
+def _confirm(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    return groups.join(sets, "node").repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y").mapInArrow(
+        _confirmed(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text).
 
-    Copies become one class first. Links between classes are looked for in three passes over the same
-    keys, each of which confirms only pairs whose ends are still apart: every class with the smallest
-    class it shares a key with; every class with the smallest class of each of its keys; all pairs under
-    a key. A group of near copies is joined by the first passes, so the last, which is complete, meets
-    only classes that look alike and are not yet linked. No group is collected or written out in pairs.
+    Copies become one class first. Classes that share a key and are near by size and signature fall into one
+    cluster (a bucket of more than ``BUCKET`` classes falls into one as a whole), so every candidate pair
+    lies within a cluster. The full sets of a cluster are sent to tasks in blocks and compared there: first
+    each block with itself and a few anchors of the cluster, then what is not linked to the cluster's
+    largest part with every block. So each set travels once unless its cluster is large, a large group that
+    is linked costs in proportion to its size, and only spanning edges, never pairs, are written.
 
     Defined cases: null, empty or white-space texts have an empty set and link with nothing; rows that
     repeat an id or a text are rows of the result each; a null doc_id takes part and is never the
@@ -141,30 +240,37 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         signed.filter("node is not null").groupBy("node", "n_shingles", "signature").agg(F.min("doc_id").alias("doc_id")),
         "classes")
     keyed = classes.select(F.explode(F.array(*chunk_keys())).alias("key"), "node")
-    least = keyed.groupBy("key").agg(F.min("node").alias("m"), F.max("node").alias("x")).filter("m < x").drop("x")
-    index = materialize(keyed.join(least, "key"), "index")  # only keys that several classes share
-
-    stars = index.filter("node != m").select(F.col("m").alias("a"), F.col("node").alias("b"))
-    nearest = stars.groupBy("b").agg(F.min("a").alias("a"))
-    edges = materialize(_confirm(_checked(nearest, classes, percent), docs, classes, size, percent), "links")
-    roots = components(edges)
-
-    apart = _apart(stars.distinct(), roots)
-    edges = materialize(
-        edges.unionByName(_confirm(_checked(apart, classes, percent), docs, classes, size, percent)), "links")
-    roots = materialize(components(edges), "roots")
-
-    rooted = index.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("m"), F.max("root").alias("x")).filter("m < x").select("key")
-    open_keys = materialize(rooted.join(mixed, "key", "left_semi").join(
-        classes.select("node", "n_shingles"), "node"), "open")
-    left = open_keys.select("key", F.col("node").alias("a"), F.col("root").alias("r_a"), F.col("n_shingles").alias("k_a"))
-    right = open_keys.select("key", F.col("node").alias("b"), F.col("root").alias("r_b"), F.col("n_shingles").alias("k_b"))
-    rest = (
-        left.join(right, "key").filter("r_a < r_b")
-        .filter(100 * F.least("k_a", "k_b") >= percent * F.greatest("k_a", "k_b")).select("a", "b").distinct())
-    edges = edges.unionByName(_confirm(_checked(rest, classes, percent), docs, classes, size, percent))
-    roots = materialize(components(edges), "roots")
+    several = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("m")).filter("n > 1")
+    index = materialize(keyed.join(several, "key"), "index")  # only keys that several classes share
+    near = components(_edges(index, classes, percent)).withColumnRenamed("root", "cluster")
+    members = near.join(classes.select("node", "n_shingles", "doc_id"), "node")
+    total = members.groupBy("cluster").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("shingles"))
+    members = materialize(
+        members.join(total.select("cluster", _blocks(F.col("rows"), F.col("shingles")).alias("blocks")), "cluster"), "members")
+    sets = materialize(_full_sets(members, docs, size), "shingles")
+
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    group = lambda x, y, opened, root: ["node", "cluster", x, y, opened.alias("open"), root.alias("root")]
+    zero, itself = F.lit(0).alias("y"), F.col("node")
+    own = members.select(*group(_spread("blocks", 0).alias("x"), zero, F.lit(True), itself))
+    first = F.row_number().over(Window.partitionBy("cluster").orderBy("node"))
+    anchors = members.filter("blocks > 1").withColumn("r", first).filter(F.col("r") <= ANCHORS).withColumn("x", every("blocks"))
+    anchors = anchors.filter(F.col("x") != _spread("blocks", 0)).select(*group("x", zero, F.lit(False), itself))
+    links = materialize(_confirm(own.unionByName(anchors), sets, percent), "links")
+    roots = materialize(components(links), "roots")
+
+    large = members.filter("blocks > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    parts = large.groupBy("cluster", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    main = parts.groupBy("cluster").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
+    rest = parts.join(main, "cluster").filter("root != main").groupBy("cluster").agg(
+        _blocks(F.sum("n"), F.sum("s")).alias("opens"))
+    large = materialize(large.join(main, "cluster").join(rest, "cluster"), "large")
+    opened = large.filter("root != main").withColumn("y", every("blocks")).select(
+        *group(_spread("opens", 1).alias("x"), "y", F.lit(True), F.col("root")))
+    against = large.withColumn("x", every("opens")).select(
+        *group("x", _spread("blocks", 0).alias("y"), F.lit(False), F.col("root")))
+    links = links.unionByName(_confirm(opened.unionByName(against), sets, percent))
+    roots = materialize(components(links), "roots")
 
     placed = classes.select("node", "doc_id").join(roots, "node", "left").select(
         "node", "doc_id", F.coalesce("root", "node").alias("root"))
@@ -176,15 +282,14 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _checked(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    return materialize(_plausible(pairs, classes, percent), "candidates")
-
-
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Of pairs (a, b) those whose ends are in different components so far."""
-    side = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r_{c}"))
-    return pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").filter(
-        F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select("a", "b")
+def _full_sets(members: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of every member, from the text of its first document."""
+    lowest = F.lit(-(2**63)).cast("long")
+    first = members.select(F.coalesce("doc_id", lowest).alias("_id")).distinct()
+    found = (
+        docs.select(F.coalesce(F.col("doc_id").cast("long"), lowest).alias("_id"), F.col("text").cast("string"))
+        .join(first, "_id", "left_semi").select("text").mapInArrow(_sets(size), "node long, shingles array<long>"))
+    return found.dropDuplicates(["node"])
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
