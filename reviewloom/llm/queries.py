@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewloom.session import materialize
-from . import embedding_dedup, minhash_dedup, mixing, packing, quality_rules
+from . import (
+    chat_format, embedding_dedup, html_extract, minhash_dedup, mixing, packing, quality_rules, sharding, url_filter, warc,
+)
 
+CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +58,71 @@ def op2(spark, sf_dir):
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: verdict, host, path.
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+URL_SQL = r"""
+WITH u AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+v AS (
+  SELECT page_id, url, regexp_extract(rest, '^[^/?#]*') AS raw,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
+w AS (
+  SELECT page_id, url, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM v),
+c AS (
+  SELECT *, regexp_replace(regexp_replace(host, ':[0-9]+$', ''), '^(www|m)[.]', '')
+            || regexp_replace(regexp_replace(path, '/$', ''), '[.]html?$', '') AS name FROM w),
+toxic AS (
+  SELECT DISTINCT name FROM c JOIN labels
+  ON doc_id = try_cast(regexp_extract(path, '/([0-9]+)(?:[.]html?|/)?$', 1) AS BIGINT) WHERE toxic = 1),
+rules(verdict, rule_host, rule_path) AS (VALUES
+  ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+  ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+f AS (
+  SELECT page_id, url, arg_max({'r': rule_host || rule_path, 'v': verdict}, length(rule_host || rule_path)) AS best
+  FROM w JOIN rules ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+  GROUP BY page_id, url)
+SELECT c.page_id, c.url, host, path, best.r AS rule,
+       CASE WHEN best.v IS NOT NULL THEN best.v WHEN host <> '' AND name IN (SELECT name FROM toxic) THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM c LEFT JOIN f ON c.page_id IS NOT DISTINCT FROM f.page_id AND c.url IS NOT DISTINCT FROM f.url
+"""
+
+
+def toxic_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """The urls of pages that show a document labelled toxic; its number ends their path."""
+    number = F.regexp_extract(url_filter.path_of(F.col("url")), r"/([0-9]+)(?:\.html?|/)?$", 1).try_cast("long")
+    toxic = labels.filter("toxic = 1").select(F.col("doc_id").alias("_doc")).distinct()
+    return pages.select("url", number.alias("_doc")).join(toxic, "_doc").select("url")
+
+
+@query("op3_url_filter", URL_SQL)
+def op3(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, URL_RULES, toxic_pages(pages, table(spark, sf_dir, "labels")))
+
+
+@query("op4_virtual_slots")
+def op4(spark, sf_dir):
+    """Law ``bytes``: the map is made from the slots' bytes. ``grown_to`` is the shard in version 2 of the map."""
+    records = table(spark, sf_dir, "documents").select(
+        "doc_id", sharding.record_bytes().alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    placed = sharding.assign(materialize(records, "records"), 24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "grown_to")
+
+
+@query("op5_tag_path_ratios")
+def op5(spark, sf_dir):
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 QUALITY_SQL = r"""
 WITH w AS (
   SELECT doc_id, source, coalesce(text, '') AS text,
@@ -114,3 +182,19 @@ def op9(spark, sf_dir):
     slim = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words().alias("words"))
     mix = mixing.mix(materialize(slim, "sizes"), F.col("words"))
     return mix.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
+@query("op8_prefix_trees")
+def op8(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(
+        [(-1, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))], turns.schema)
+    talks = materialize(chat_format.conversations(turns.unionByName(probe)), "conversations")
+    packed = materialize(chat_format.sequences(talks, CHAT_TOKENIZER), "sequences")
+    return talks.select("conv_id", "content").join(chat_format.read_back(packed, CHAT_TOKENIZER), "content").drop("content")
+
+
+@query("op10_warc")
+def op10(spark, sf_dir):
+    archives = warc.write_archives(warc.with_originals(table(spark, sf_dir, "pages")))
+    return warc.read_archives(spark, archives, payloads=False).drop("url")
