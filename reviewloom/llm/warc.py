@@ -66,7 +66,7 @@ class ArchiveWriter:
     """One archive. Records wait until there are enough to train the dictionary on."""
 
     def __init__(self, filesystem, path: str):
-        self.path, self.stream = path, filesystem.open_output_stream(path)
+        self.path, self.stream = path, filesystem.open_output_stream(path, compression=None)
         self.waiting: list[bytes] = []
         self.held, self.records, self.compressor = 0, 0, None
 
@@ -247,7 +247,7 @@ def read_archives(spark: SparkSession, archives: DataFrame, payloads: bool = Tru
             for path in batch.column(0).to_pylist():
                 filesystem, own = _opened(path)
                 rows, held = [], 0
-                with filesystem.open_input_stream(own) as stream:
+                with filesystem.open_input_stream(own, compression=None) as stream:
                     try:
                         for data in archive_frames(stream):
                             headers, block = parse_record(data)
