@@ -33,7 +33,6 @@ ASPECT_REPORT_NAMES = {
 MIN_REVIEWS = 1
 LOOKBACK_DAYS = 15
 REVIEWS_PER_PAGE = 20
-MAX_REVIEW_PAGES = 10
 FAST_REVIEW_PAGES = 5
 CHUNK_SIZE = 5000
 RERANK_WEIGHT = 0.15

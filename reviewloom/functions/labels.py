@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..constants import ASPECTS, LABEL_CODES, SENTIMENTS
+from .json_text import quoted
 from .text import strip
 
 LABEL_TYPE = "array<struct<aspect:string,sentiment:string>>"
 
 
 def parse_label(c: Column) -> Column:
-    """JSON or Python-literal list to a label; anything unreadable is empty."""
-    direct = F.from_json(c, LABEL_TYPE)
-    without_none = F.from_json(F.regexp_replace(c, r":\s*None\b", ": null"), LABEL_TYPE)
+    """JSON or Python-literal list to a label; anything else, such as a bare
+    object or a list with more text around it, is empty."""
+    listed = F.when(c.rlike(r"(?s)^\s*\[.*\]\s*$"), c)
+    direct = F.from_json(listed, LABEL_TYPE)
+    without_none = F.from_json(F.regexp_replace(listed, r":\s*None\b", ": null"), LABEL_TYPE)
     return F.coalesce(direct, without_none, F.array().cast(LABEL_TYPE))
 
 
@@ -55,9 +58,8 @@ def normalize_label(label: Column) -> Column:
 
 def make_label(columns: list[Column]) -> Column:
     """Six sentiments in aspect order to the JSON text of a label."""
-    return F.to_json(F.array(*[
-        F.struct(F.lit(a).alias("aspect"), c.alias("sentiment")) for a, c in zip(ASPECTS, columns)
-    ]))
+    items = [F.concat(F.lit(f'{{"aspect": "{a}", "sentiment": '), quoted(c), F.lit("}")) for a, c in zip(ASPECTS, columns)]
+    return F.concat(F.lit("["), F.concat_ws(", ", *items), F.lit("]"))
 
 
 def label_code(sentiment: Column) -> Column:

@@ -110,7 +110,7 @@ def product_reports(products: DataFrame, satisfaction: DataFrame, samples: DataF
         F.max("total").alias("total_analyzed"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order.alias("o"), line.alias("l")))),
                                  lambda x: x.l), "\n").alias("aspect_lines"))
-    quote = F.concat(F.lit("> "), F.repeat(F.lit("⭐"), F.col("rating")), F.lit(' *"'), F.col("content"), F.lit('"*\n'))
+    quote = F.concat(F.lit("> "), F.repeat(F.lit("⭐"), F.coalesce("rating", F.lit(0))), F.lit(' *"'), F.col("content"), F.lit('"*\n'))
     quotes = samples.filter("rank <= 3").groupBy("product_id").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", quote.alias("q")))),
                                  lambda x: x.q), "\n").alias("quotes"))
@@ -119,8 +119,9 @@ def product_reports(products: DataFrame, satisfaction: DataFrame, samples: DataF
         "\n",
         F.lit("## 📊 Phân tích sản phẩm"), F.lit(""),
         F.concat(F.lit("**"), F.col("name"), F.lit("**")),
-        F.concat(F.lit("💰 "), thousands(F.col("price"), ","), F.lit("đ · ⭐ "), F.col("rating_average").cast("string"),
-                 F.lit("/5 ("), thousands(F.col("review_count"), ","), F.lit(" đánh giá)")),
+        F.concat(F.lit("💰 "), F.coalesce(thousands(F.col("price"), ","), F.lit("n/a")), F.lit("đ · ⭐ "),
+                 F.coalesce(F.col("rating_average").cast("string"), F.lit("n/a")), F.lit("/5 ("),
+                 F.coalesce(thousands(F.col("review_count"), ","), F.lit("0")), F.lit(" đánh giá)")),
         F.concat(F.lit("🏷️ "), F.col("brand_name"), F.lit(" · 📦 "), F.col("category_name")),
         F.concat(F.lit(f"🔗 [Xem trên {shop}]("), F.col("product_url"), F.lit(")")), F.lit(""),
         F.concat(F.lit("*Nguồn: "), source_text, F.lit("*")), F.lit(""),

@@ -11,7 +11,7 @@ from ..functions.numbers import (
     adaptive_k, format_price, negative_limit, percent, positive_limit, safe_float, safe_int,
 )
 from ..functions.text import clean_html_text, strip
-from .layout import salted_lookup, top_per_key
+from .layout import top_per_key
 from .merge import concat_parts, of_products
 
 # Order in which document kinds are written; the first of equal ids wins.
@@ -134,7 +134,7 @@ def review_documents(det: DataFrame, picked: DataFrame) -> DataFrame:
     """Documents of the picked reviews; ``det`` may lack products (inner join)."""
     joined = picked.join(det, "product_id")
     content = F.concat(
-        F.lit("Đánh giá ("), F.col("rating").cast("string"), F.lit("/5) về '"), _shown(F.col("name"), ""),
+        F.lit("Đánh giá ("), _shown(F.col("rating"), "n/a"), F.lit("/5) về '"), _shown(F.col("name"), ""),
         F.lit("':\n"), F.substring("content", 1, 600))
     return joined.select(
         _doc_id(F.concat(F.lit("_review_"), F.col("position").cast("string"))), F.lit("review").alias("doc_type"),
@@ -146,7 +146,7 @@ def new_review_documents(det: DataFrame, delta: DataFrame) -> DataFrame:
     """A document for every delta review with content, beside the picked ones."""
     spoken = delta.withColumn("content", strip(F.col("content"))).filter("content <> ''").select(
         "product_id", "review_id", "rating", "content", "source_file", overall_sentiment(F.col("label")).alias("overall"))
-    joined = salted_lookup(spoken, det, ["product_id"], "review_id")
+    joined = spoken.join(det, "product_id")
     content = F.concat(F.lit("Review mới về '"), _shown(F.col("name"), ""), F.lit("':\n"), F.substring("content", 1, 800))
     return joined.select(
         delta_doc_id(F.col("product_id"), F.col("content")).alias("id"), F.lit("new_review").alias("doc_type"),
@@ -179,7 +179,7 @@ def build_delta_documents(products: DataFrame, reviews: DataFrame, scores: DataF
     slim = det.drop("short_description", "ai_review_summary")
     return document_union(
         product_cards(det), aspect_summaries(slim),
-        review_documents(slim, top_reviews(of_products(reviews, affected, "review_id"))),
+        review_documents(slim, top_reviews(of_products(reviews, affected))),
         new_review_documents(slim, delta))
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, MapType, StructType
 
-from ..constants import DETAIL_FIELDS, DETAIL_KEEP, DETAIL_RENAME, MAX_REVIEW_PAGES
+from ..constants import DETAIL_FIELDS, DETAIL_KEEP, DETAIL_RENAME
+from ..functions.json_text import json_text
 from ..functions.numbers import parse_timestamp, timestamp_text
 from ..functions.text import html_to_text, is_blank, strip, strip_boilerplate
 
@@ -38,7 +39,7 @@ _NESTED = {
 def safe_stringify(c: Column, kind: DataType) -> Column:
     """NULL to '', nested values to JSON, truth values capitalised, else text."""
     if isinstance(kind, (ArrayType, MapType, StructType)):
-        value = F.to_json(c)
+        value = F.when(c.isNotNull(), json_text(c, kind))
     elif isinstance(kind, BooleanType):
         value = F.initcap(c.cast("string"))
     else:
@@ -90,12 +91,15 @@ def ai_summary(payload: Column) -> Column:
     ], F.lit(""))
 
 
-def flatten_reviews(pages: DataFrame, max_pages: int = MAX_REVIEW_PAGES) -> DataFrame:
-    """(product_id, page, payload JSON) to one row per review with content.
+def served_reviews(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """(product_id, page, payload JSON) to one row per served review, blank ones
+    included.
 
-    Pages count from 1; ``place`` keeps the order in which they were served.
+    ``place`` keeps the order in which they were served. All pages are read;
+    ``max_pages`` is for a caller that wants the first ones (they count from 1).
     """
-    served = pages.filter(F.col("page").between(1, max_pages)).select(
+    wanted = pages if max_pages is None else pages.filter(F.col("page") <= max_pages)
+    served = wanted.select(
         "product_id", "page", F.posexplode(F.from_json("payload", REVIEW_PAGE_SCHEMA)["data"]).alias("at", "r"))
     return served.select(
         "product_id",
@@ -105,7 +109,16 @@ def flatten_reviews(pages: DataFrame, max_pages: int = MAX_REVIEW_PAGES) -> Data
         strip(F.col("r.content")).alias("content"),
         timestamp_text(F.col("r.created_at")).alias("created_at"),
         parse_timestamp(F.col("r.created_at")).alias("created_ts"),
-    ).filter(~is_blank(F.col("content")))
+    )
+
+
+def with_content(served: DataFrame) -> DataFrame:
+    return served.filter(~is_blank(F.col("content")))
+
+
+def flatten_reviews(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """The served reviews that have content."""
+    return with_content(served_reviews(pages, max_pages))
 
 
 def product_list(listed: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BLOCK_ROWS = 100_000
-SALTS = 32
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -62,18 +61,6 @@ def with_position(
     )
 
 
-def salted_lookup(big: DataFrame, small: DataFrame, keys: list[str], row_id: str, how: str = "inner",
-                  salts: int = SALTS) -> DataFrame:
-    """Join a table that may hold a hot key to a table with one row per key.
-
-    The rows of each key spread over ``salts`` partitions by ``row_id``; the
-    one-row side is repeated once per salt.
-    """
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(salts)))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
-
-
 def last_value_so_far(df: DataFrame, keys: list[str], order: str, value: str, name: str,
                       block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Last non-NULL ``value`` up to and including each row, within ``keys`` by

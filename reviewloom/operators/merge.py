@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import DEDUP_COLUMNS
 from ..functions.text import strip
-from .layout import keep_first, salted_lookup
+from .layout import keep_first
 
 
 def digest(*columns: str) -> Column:
@@ -29,17 +29,17 @@ def dedup_keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return keep_first(_with_key(df, keys), ["_key"], order).drop("_key")
 
 
-def new_reviews(pending: DataFrame, main: DataFrame, keys=("product_id", "content"), row_id: str = "review_id"):
+def new_reviews(pending: DataFrame, main: DataFrame, keys=("product_id", "content")):
     """Pending reviews whose key is not in ``main``.
 
     Of several files with the same key the first by name wins; copies inside
     that file stay. Copies are reduced to one key before any shuffle, and the
-    rows find their key again through a salted join.
+    rows find their key again by a join that Spark splits where a key is hot.
     """
     rows = _with_key(pending, list(keys))
     known = _with_key(main, list(keys)).select("_key").distinct()
     first = rows.groupBy("_key").agg(F.min("source_file").alias("source_file")).join(known, "_key", "left_anti")
-    return salted_lookup(rows, first, ["_key", "source_file"], row_id, "left_semi").drop("_key")
+    return rows.join(first, ["_key", "source_file"], "left_semi").drop("_key")
 
 
 def affected_ids(pending: DataFrame) -> DataFrame:
@@ -47,18 +47,18 @@ def affected_ids(pending: DataFrame) -> DataFrame:
     return pending.select("product_id").filter("product_id IS NOT NULL").distinct()
 
 
-def of_products(df: DataFrame, ids: DataFrame, row_id: str) -> DataFrame:
+def of_products(df: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of the given products, a hot product spread over many tasks."""
-    return salted_lookup(df, ids.select("product_id").distinct(), ["product_id"], row_id, "left_semi")
+    return df.join(ids.select("product_id").distinct(), "product_id", "left_semi")
 
 
-def without_products(df: DataFrame, ids: DataFrame, row_id: str) -> DataFrame:
-    return salted_lookup(df, ids.select("product_id").distinct(), ["product_id"], row_id, "left_anti")
+def without_products(df: DataFrame, ids: DataFrame) -> DataFrame:
+    return df.join(ids.select("product_id").distinct(), "product_id", "left_anti")
 
 
-def one_to_many(one: DataFrame, many: DataFrame, row_id: str) -> DataFrame:
+def one_to_many(one: DataFrame, many: DataFrame) -> DataFrame:
     """Left join of a product table to its reviews; a hot product is spread."""
-    matched = salted_lookup(many, one, ["product_id"], row_id)
+    matched = many.join(one, "product_id")
     alone = one.join(many.select("product_id").distinct(), "product_id", "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)
 
@@ -68,16 +68,16 @@ def delta_reviews(pending: DataFrame, order: list) -> DataFrame:
     return dedup_keep_first(pending, ["product_id", "content"], order)
 
 
-def merge_labeled(main: DataFrame, pending: DataFrame, row_id: str = "review_id") -> DataFrame:
+def merge_labeled(main: DataFrame, pending: DataFrame) -> DataFrame:
     """Main table with the new reviews; ``is_new`` tells them apart."""
-    new = new_reviews(pending, main, row_id=row_id)
+    new = new_reviews(pending, main)
     return main.withColumn("is_new", F.lit(False)).unionByName(
         new.withColumn("is_new", F.lit(True)), allowMissingColumns=True)
 
 
-def merge_figures(main: DataFrame, pending: DataFrame, row_id: str = "review_id") -> DataFrame:
+def merge_figures(main: DataFrame, pending: DataFrame) -> DataFrame:
     """added, total and affected counts of a merge, as one row."""
-    merged = merge_labeled(main, pending, row_id).agg(
+    merged = merge_labeled(main, pending).agg(
         F.count_if("is_new").alias("added"), F.count("*").alias("total"))
     return merged.withColumn("affected", affected_ids(pending).agg(F.count("*")).scalar())
 
@@ -103,9 +103,9 @@ def resume(df: DataFrame, checkpoint: DataFrame, keys: list[str], values: list[s
     that stay NULL are still to be done. NULL keys count as ``Unknown``."""
     key = F.sha2(F.to_json(F.array(*[_text_key(k) for k in keys])), 256)
     done = checkpoint.filter(F.col(values[0]).isNotNull()).select(
-        key.alias("_key"), F.struct(*values).alias("_done"), F.lit(row_id).alias("_by"), F.col(row_id).alias("_at"))
+        key.alias("_key"), F.struct(*values).alias("_done"), F.col(row_id).alias("_at"))
     done = keep_first(done, ["_key"], ["_at"]).select("_key", "_done")
-    joined = salted_lookup(df.withColumn("_key", key), done, ["_key"], row_id, "left")
+    joined = df.withColumn("_key", key).join(done, "_key", "left")
     kept = {v: F.coalesce(F.col(f"_done.{v}"), F.col(v)) if v in df.columns else F.col(f"_done.{v}") for v in values}
     return joined.withColumns(kept).drop("_key", "_done")
 
@@ -158,10 +158,10 @@ def incremental_concat(base: DataFrame | None, new: DataFrame, order: list[str],
     return both.drop("_part")
 
 
-def kb_replace(kb: DataFrame, delta: DataFrame, row_id: str = "id") -> DataFrame:
+def kb_replace(kb: DataFrame, delta: DataFrame) -> DataFrame:
     """Every point of the products in ``delta`` gives way to the delta points;
     other products stay as they are."""
-    return without_products(kb, delta, row_id).unionByName(delta, allowMissingColumns=True)
+    return without_products(kb, delta).unionByName(delta, allowMissingColumns=True)
 
 
 def kb_replace_stored(spark, path: str, delta: DataFrame, buckets: int = 64) -> None:
@@ -182,11 +182,22 @@ def kb_replace_stored(spark, path: str, delta: DataFrame, buckets: int = 64) ->
 
 
 def kb_rebuild(documents: DataFrame, path: str, buckets: int = 64) -> None:
-    """Writes the whole knowledge base anew; fails on repeated ids."""
-    checked = documents.withColumn("bucket", F.pmod(F.xxhash64("product_id"), F.lit(buckets)).cast("int"))
-    if not repeated_ids(documents).isEmpty():
+    """Writes the whole knowledge base anew. The documents are made once, into a
+    staged table; an empty one, repeated ids, or a copy that ends up with
+    another number of rows fail before or after it becomes the base."""
+    from ..session import materialize
+
+    bucket = F.pmod(F.xxhash64("product_id"), F.lit(buckets)).cast("int")
+    staged = materialize(documents.withColumn("bucket", bucket), "kb-rebuild")
+    loaded = staged.count()
+    if not loaded:
+        raise ValueError("there are no documents")
+    if not repeated_ids(staged).isEmpty():
         raise ValueError("document ids repeat")
-    checked.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    staged.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    final = documents.sparkSession.read.parquet(path).count()
+    if final != loaded:
+        raise ValueError(f"{loaded} documents were loaded, {final} are there")
 
 
 def repeated_ids(documents: DataFrame, key: str = "id") -> DataFrame:

@@ -9,8 +9,9 @@ query side is sent to the tasks in blocks of a fixed number of queries.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,31 +31,25 @@ ROW_BLOCK = 1024
 DIGITS = 12
 
 
-@dataclass
-class RagFilters:
-    doc_types: list[str] = field(default_factory=list)
-    min_rating: float | None = None
-    price_min: float | None = None
-    price_max: float | None = None
-    aspect_preferences: dict[str, float] = field(default_factory=dict)
-
-
-def rag_filter(f: RagFilters) -> Column:
-    """All given conditions; a NULL value never passes, unknown aspects are
-    ignored."""
-    keep = F.lit(True)
-    if f.doc_types:
-        keep = keep & F.col("doc_type").isin(f.doc_types)
-    if f.min_rating is not None:
-        keep = keep & (F.col("rating_average") >= f.min_rating)
-    if f.price_min is not None:
-        keep = keep & (F.col("price") >= f.price_min)
-    if f.price_max is not None:
-        keep = keep & (F.col("price") <= f.price_max)
-    for aspect, least in f.aspect_preferences.items():
-        if aspect in ASPECTS:
-            keep = keep & (F.col(f"absa_{aspect}_score") >= least)
-    return keep
+class Condition(NamedTuple):
+    """``column`` compared with ``value``: one of the keys of ``COMPARE``."""
+
+    column: str
+    is_: str
+    value: object
+
+
+COMPARE = {"in": Column.isin, "at least": Column.__ge__, "at most": Column.__le__}
+
+
+def liked(preferences: dict[str, float]) -> list[Condition]:
+    """Least scores of known aspects as conditions; unknown aspects ask nothing."""
+    return [Condition(f"absa_{a}_score", "at least", least) for a, least in preferences.items() if a in ASPECTS]
+
+
+def passing(conditions: Iterable[Condition]) -> Column:
+    """Rows that meet all conditions; a NULL value meets none."""
+    return reduce(lambda keep, c: keep & COMPARE[c.is_](F.col(c.column), c.value), conditions, F.lit(True))
 
 
 def with_aspect_scores(points: DataFrame, scores: DataFrame) -> DataFrame:
@@ -63,16 +58,18 @@ def with_aspect_scores(points: DataFrame, scores: DataFrame) -> DataFrame:
     return points.join(scores.select("product_id", *columns), "product_id", "left")
 
 
-def absa_boost(f: RagFilters) -> Column:
+def aspect_boost(preferences: Iterable[str]) -> Column:
     """Mean of the preferred aspect scores; NULL and unknown aspects count 0."""
-    wanted = list(f.aspect_preferences)
-    if not wanted:
-        return F.lit(0.0)
-    total = F.lit(0.0)
-    for aspect in wanted:
-        if aspect in ASPECTS:
-            total = total + F.coalesce(F.col(f"absa_{aspect}_score"), F.lit(0.0))
-    return total / len(wanted)
+    wanted = list(preferences)
+    known = [F.coalesce(F.col(f"absa_{a}_score"), F.lit(0.0)) for a in wanted if a in ASPECTS]
+    return reduce(Column.__add__, known, F.lit(0.0)) / max(len(wanted), 1)
+
+
+def with_vectors(df: DataFrame, vector: str = "embedding") -> DataFrame:
+    """Rows that can be ranked: the vector is there and all of it is a finite number. Points not encoded
+    yet, and broken ones, are left out; all others are ranked."""
+    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return df.filter((F.size(vector) > 0) & sound)
 
 
 # --- blocks of queries ----------------------------------------------------------
@@ -135,8 +132,8 @@ def _scored(points: DataFrame, score_batch, k: int) -> DataFrame:
 
 def vector_candidates(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Best ``k`` cosine scores of each query and task over (id, embedding)."""
-    parts = []
-    for rows in _query_blocks(queries.select("query_id", "embedding")):
+    points, parts = with_vectors(points), []
+    for rows in _query_blocks(with_vectors(queries.select("query_id", "embedding"))):
         matrix = np.array([r.embedding for r in rows], dtype=np.float64)
         norm = np.linalg.norm(matrix, axis=1, keepdims=True)
         matrix = np.divide(matrix, norm, out=matrix, where=norm > 0)
@@ -166,18 +163,18 @@ def vector_knn(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return top_per_key(found, ["query_id"], [F.desc("score"), F.asc("id")], k)
 
 
-def vector_topk(points: DataFrame, queries: DataFrame, top_k: int, filters: RagFilters | None = None,
-                weight: float = RERANK_WEIGHT) -> DataFrame:
+def vector_topk(points: DataFrame, queries: DataFrame, top_k: int, conditions: Iterable[Condition] = (),
+                preferences: dict[str, float] | None = None, weight: float = RERANK_WEIGHT) -> DataFrame:
     """Filtered cosine search: 2 * top_k by similarity, re-ranked by the mean of
     the preferred aspect scores, best ``top_k`` kept.
 
     The filter runs before any scoring; the figures of a product are looked up
     again only for the 2 * top_k survivors of each query.
     """
-    filters = filters or RagFilters()
-    kept = points.filter(rag_filter(filters))
+    preferences = preferences or {}
+    kept = points.filter(passing([*conditions, *liked(preferences)]))
     near = vector_knn(kept, queries, 2 * top_k).withColumnsRenamed({"score": "cosine", "rank": "dense_rank"})
-    payload = kept.drop("embedding").withColumn("boost", absa_boost(filters))
+    payload = kept.drop("embedding").withColumn("boost", aspect_boost(preferences))
     rescored = near.join(payload, "id").withColumn("score", F.col("cosine") + F.lit(weight) * F.col("boost"))
     return top_per_key(rescored, ["query_id"], [F.desc(F.round("score", 12)), F.asc("dense_rank")], top_k)
 
@@ -210,11 +207,11 @@ def vector_lsh_topk(points: DataFrame, queries: DataFrame, k: int, dim: int, tab
     ``QUERY_BLOCK * tables`` rows, are sent to the points.
     """
     spark = points.sparkSession
-    hashed = lsh_buckets(points.select("id", "embedding"), dim, tables, bits)
+    hashed = lsh_buckets(with_vectors(points.select("id", "embedding")), dim, tables, bits)
     placed = hashed.select("id", "embedding", "buckets", F.posexplode("buckets").alias("table", "bucket"))
     same = F.array_position(F.zip_with("buckets", "qb", lambda a, z: a == z), True) - 1
     parts = []
-    for rows in _query_blocks(queries.select("query_id", "embedding")):
+    for rows in _query_blocks(with_vectors(queries.select("query_id", "embedding"))):
         block = spark.createDataFrame(
             [(r.query_id, [float(x) for x in r.embedding]) for r in rows], "query_id bigint, embedding array<double>")
         probes = lsh_buckets(block, dim, tables, bits).select(

@@ -69,18 +69,22 @@ def with_content(heads, spark, sf_dir) -> DataFrame:
 
 
 def review_labels(spark, sf_dir) -> DataFrame:
-    """review_id -> label with at most one item per aspect, the last line wins."""
+    """review_id -> label with at most one item per aspect, the last line wins.
+
+    The place of a line (number, part, supplier: up to 13 digits each) and its
+    sentiment's code are one number, so the last one is a plain maximum, which
+    Spark keeps in a hash table without sorting the lines.
+    """
+    names = list(SENTIMENT_OF_FLAG.values())
+    whole = lambda c: F.col(c).cast("decimal(38,0)")
+    code = F.coalesce(*[F.when(F.col("l_returnflag") == flag, F.lit(i + 1)) for i, flag in enumerate(SENTIMENT_OF_FLAG)], F.lit(0))
+    place = whole("l_linenumber") * F.lit(10**13).cast("decimal(38,0)") + whole("l_partkey")
     lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("review_id"),
-        aspect_of(F.col("l_linenumber")).alias("aspect"),
-        sentiment_of(F.col("l_returnflag")).alias("sentiment"),
-        F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("at"),
-    )
-    last = [
-        F.max_by(F.when(F.col("aspect") == a, F.col("sentiment")), F.when(F.col("aspect") == a, F.col("at"))).alias(a)
-        for a in ASPECTS
-    ]
-    items = F.array(*[F.struct(F.lit(a).alias("aspect"), F.col(a).alias("sentiment")) for a in ASPECTS])
+        F.col("l_orderkey").alias("review_id"), ((F.col("l_linenumber") - 1) % 6).alias("aspect"),
+        (place * F.lit(10**14).cast("decimal(38,0)") + whole("l_suppkey") * 10 + code).alias("packed"))
+    last = [F.max(F.when(F.col("aspect") == i, F.col("packed"))).alias(a) for i, a in enumerate(ASPECTS)]
+    told = lambda a: F.try_element_at(F.array(*map(F.lit, names)), F.nullif((F.col(a) % 10).cast("int"), F.lit(0)))
+    items = F.array(*[F.struct(F.lit(a).alias("aspect"), told(a).alias("sentiment")) for a in ASPECTS])
     return lines.groupBy("review_id").agg(*last).select(
         "review_id", F.filter(items, lambda x: x.sentiment.isNotNull()).alias("label")
     )

@@ -125,7 +125,7 @@ def retrain_trigger(spark, sf_dir):
     return rounded(ev.retrain_trigger(labeled, runs), ["best_f1"])
 
 
-@query("labeling_row_metrics", b.sql(["labeled_reviews"], f"""
+@query("pipeline_row_metrics", b.sql(["labeled_reviews"], f"""
     , counts AS (SELECT count(*) AS a, count(*) FILTER (WHERE clean <> '') AS z,
         count(*) FILTER (WHERE clean <> '' AND coalesce({', '.join(ASPECTS)}) IS NOT NULL) AS l
         FROM labeled_reviews JOIN (SELECT text, {sql_clean_review('text')} AS clean FROM (SELECT DISTINCT text FROM documents)) t
@@ -133,10 +133,10 @@ def retrain_trigger(spark, sf_dir):
     SELECT a AS rows_input, z AS rows_after_preprocess, l AS rows_labeled, a - z AS rows_dropped, z - l AS rows_failed,
            CASE WHEN z > 0 THEN round_even(l / z * 100, 2) ELSE 0 END AS success_pct, l * 230 AS tokens,
            round_even(l * 150 / 1e6 * 0.075::DOUBLE + l * 80 / 1e6 * 0.3::DOUBLE, 5) AS cost_usd FROM counts"""))
-def labeling_row_metrics(spark, sf_dir):
+def pipeline_row_metrics(spark, sf_dir):
     raw = b.labeled_reviews(spark, sf_dir)
     processed = raw.filter(~text.is_blank(text.clean_review_text(F.col("content"))))
-    return ev.labeling_row_metrics(raw, processed, processed.filter(F.size("label") > 0))
+    return ev.pipeline_row_metrics(raw, processed, processed.filter(F.size("label") > 0))
 
 
 @query("serving_metrics", b.sql(["interactions"], """

@@ -33,7 +33,7 @@ def detail_scores_join(spark, sf_dir):
 def detail_reviews_join(spark, sf_dir):
     one = b.product_heads(spark, sf_dir).select("product_id", "name")
     many = b.review_heads(spark, sf_dir).select("product_id", "review_id", "rating")
-    return merge.one_to_many(one, many, "review_id").select("product_id", "name", "review_id", "rating")
+    return merge.one_to_many(one, many).select("product_id", "name", "review_id", "rating")
 
 
 b.add_view("recent", ["review_heads"], """
@@ -55,7 +55,7 @@ def affected_products_semi(spark, sf_dir):
     ids = merge.affected_ids(recent(spark, sf_dir))
     one = lambda df, kind: df.join(ids, "product_id", "left_semi").select(
         F.lit(kind).alias("kind"), "product_id", F.col("product_id").alias("id"))
-    kept = merge.of_products(b.review_heads(spark, sf_dir), ids, "review_id").select(
+    kept = merge.of_products(b.review_heads(spark, sf_dir), ids).select(
         F.lit("review").alias("kind"), "product_id", F.col("review_id").alias("id"))
     return merge.concat_parts([
         one(b.product_heads(spark, sf_dir), "detail"), one(wide_scores(spark, sf_dir), "scores"), kept])
@@ -64,9 +64,8 @@ def affected_products_semi(spark, sf_dir):
 @query("delta_reviews_join", b.sql(["recent", "product_heads"], """
     SELECT product_id, name, review_id, rating FROM recent JOIN product_heads USING (product_id)"""))
 def delta_reviews_join(spark, sf_dir):
-    return layout.salted_lookup(
-        recent(spark, sf_dir).select("product_id", "review_id", "rating"),
-        b.product_heads(spark, sf_dir).select("product_id", "name"), ["product_id"], "review_id")
+    return recent(spark, sf_dir).select("product_id", "review_id", "rating").join(
+        b.product_heads(spark, sf_dir).select("product_id", "name"), "product_id")
 
 
 b.add_view("new_reviews", ["reviews"], """
@@ -141,9 +140,9 @@ def review_count_change(spark, sf_dir):
 
 @query("has_review_semi", b.sql(["reviews", "product_heads"], """
     SELECT product_id, name FROM product_heads WHERE product_id IN (
-        SELECT product_id FROM reviews WHERE rating > 3 AND trim(content) <> '')"""))
+        SELECT product_id FROM reviews WHERE trim(content) <> '')"""))
 def has_review_semi(spark, sf_dir):
-    spoken = b.reviews(spark, sf_dir).filter("rating > 3").filter(~text.is_blank(F.col("content")))
+    spoken = b.reviews(spark, sf_dir).filter(~text.is_blank(F.col("content")))
     return b.product_heads(spark, sf_dir).join(
         spoken.select("product_id").distinct(), "product_id", "left_semi").select("product_id", "name")
 
@@ -248,17 +247,17 @@ def product_list_dedup(spark, sf_dir):
     return flatten.product_list(listed).withColumn("product_url", flatten.product_url(path, BASE_URL))
 
 
-@query("take_while_recent", b.sql(["placed_reviews"], """
+@query("take_while_recent", b.sql(["placed_heads"], """
     , cut AS (SELECT max(o_orderdate) - INTERVAL 2000 DAY AS t FROM orders),
-    served AS (SELECT * FROM placed_reviews WHERE rating <> 1 AND trim(content) <> ''),
-    stops AS (SELECT product_id, min(position) AS stop FROM served, cut WHERE created_at < t GROUP BY 1)
-    SELECT s.product_id, s.position // 20 + 1 AS page, (s.position % 20)::INTEGER AS at, s.rating FROM served s
-    LEFT JOIN stops USING (product_id) WHERE stop IS NULL OR s.position < stop"""))
+    stops AS (SELECT product_id, min(position) AS stop FROM placed_heads, cut WHERE created_at < t GROUP BY 1)
+    SELECT s.product_id, s.position // 20 + 1 AS page, (s.position % 20)::INTEGER AS at, s.rating FROM placed_heads s
+    JOIN (SELECT doc_id, trim(text) <> '' AS spoken FROM documents) d ON d.doc_id = s.review_id % (SELECT count(*) FROM documents)
+    LEFT JOIN stops USING (product_id) WHERE (stop IS NULL OR s.position < stop) AND rating <> 1 AND spoken"""))
 def take_while_recent(spark, sf_dir):
     # Crawled pages are stored before they are read.
-    served = flatten.flatten_reviews(materialize(raw_review_pages(spark, sf_dir), "pages"))
+    served = flatten.served_reviews(materialize(raw_review_pages(spark, sf_dir), "pages"))
     cutoff = b.table(spark, sf_dir, "orders").agg(F.max("o_orderdate").cast("timestamp") - F.expr("INTERVAL 2000 DAYS")).scalar()
-    return ranking.take_while_recent(served, "created_ts", cutoff, "place").select(
+    return flatten.with_content(ranking.take_while_recent(served, "created_ts", cutoff)).select(
         "product_id", "place.page", "place.at", "rating")
 
 
@@ -343,9 +342,7 @@ def chat_with_products(spark, sf_dir):
     chat = conversations.with_current_product(b.chat(spark, sf_dir), "shop.example.com")
     facts = b.product_heads(spark, sf_dir).withColumnRenamed("product_id", "current_product").withColumn(
         "report", F.concat(F.lit("Báo cáo "), F.col("name")))
-    # Many messages may be about one product: spread them by conversation and turn.
-    keyed = chat.withColumn("message", F.struct("conv_id", "turn"))
-    return layout.salted_lookup(keyed, facts, ["current_product"], "message", "left").drop("message")
+    return chat.join(facts, "current_product", "left")
 
 
 b.add_view("chat_facts", ["chat_products", "product_heads"], """

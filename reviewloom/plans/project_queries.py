@@ -56,6 +56,8 @@ def raw_review_pages(spark, sf_dir, per_page=REVIEWS_PER_PAGE):
     return pages.select("product_id", "page", F.to_json(F.struct("data")).alias("payload"))
 
 
+b.add_view("placed_heads", ["review_heads"],
+           "SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY review_id) - 1 AS position FROM review_heads")
 b.add_view("placed_reviews", ["reviews"],
            "SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY review_id) - 1 AS position FROM reviews")
 
@@ -92,7 +94,7 @@ _FLAT_REVIEW = f"""product_id, rating, {sql_strip('content')} AS content,
 _REVIEW_COLUMNS = ["product_id", "rating", "content", "customer_name", "created_at"]
 
 
-@query("flatten_reviews", b.sql(["placed_reviews"], f"SELECT {_FLAT_REVIEW} AND position < 10 * {REVIEWS_PER_PAGE}"))
+@query("flatten_reviews", b.sql(["placed_reviews"], f"SELECT {_FLAT_REVIEW}"))
 def flatten_reviews(spark, sf_dir):
     return flatten.flatten_reviews(raw_review_pages(spark, sf_dir)).select(_REVIEW_COLUMNS)
 
@@ -107,7 +109,7 @@ def review_page_cap(spark, sf_dir):
 @query("safe_stringify", """
     SELECT p_partkey AS product_id, CASE WHEN p_size > 25 THEN p_name ELSE '' END AS name_text,
            CASE WHEN p_size > 25 THEN 'True' ELSE 'False' END AS flag_text, p_retailprice::VARCHAR AS price_text,
-           '{"brand":"' || p_brand || '","size":' || p_size || '}' AS nested_text, '[' || p_size || ',1]' AS list_text
+           '{"brand": "' || p_brand || '", "size": ' || p_size || '}' AS nested_text, '[' || p_size || ', 1]' AS list_text
     FROM part""")
 def safe_stringify(spark, sf_dir):
     values = b.table(spark, sf_dir, "part").select(
@@ -211,10 +213,11 @@ def lookback_filter(spark, sf_dir):
     WHERE k.doc_type IN ('type_1', 'type_2', 'type_3') AND k.rating_average >= 2.5 AND k.price BETWEEN 900 AND 940
       AND s.quality_score >= -0.2"""))
 def rag_filter(spark, sf_dir):
-    chosen = search.RagFilters(doc_types=["type_1", "type_2", "type_3"], min_rating=2.5, price_min=900, price_max=940,
-                               aspect_preferences={"quality": -0.2, "unknown": 0.5})
+    asked = [("doc_type", "in", ["type_1", "type_2", "type_3"]), ("rating_average", "at least", 2.5),
+             ("price", "at least", 900), ("price", "at most", 940)]
+    chosen = [*(search.Condition(*c) for c in asked), *search.liked({"quality": -0.2, "unknown": 0.5})]
     points = search.with_aspect_scores(b.kb(spark, sf_dir), wide_scores(spark, sf_dir))
-    return points.filter(search.rag_filter(chosen)).select(
+    return points.filter(search.passing(chosen)).select(
         "id", "doc_type", "price", "rating_average", F.col("absa_quality_score").alias("quality_score"))
 
 

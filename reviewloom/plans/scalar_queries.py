@@ -255,8 +255,8 @@ def normalize_label(spark, sf_dir):
         "label IS NOT NULL").select("review_id", _items_text(F.col("label")).alias("items"))
 
 
-@query("make_label", b.sql(["labeled_heads"], "SELECT review_id, '[' || " + " || ',' || ".join(
-    f"'{{\"aspect\":\"{a}\",\"sentiment\":\"' || coalesce({a}, 'neutral') || '\"}}'" for a in ASPECTS)
+@query("make_label", b.sql(["labeled_heads"], "SELECT review_id, '[' || " + " || ', ' || ".join(
+    f"'{{\"aspect\": \"{a}\", \"sentiment\": \"' || coalesce({a}, 'neutral') || '\"}}'" for a in ASPECTS)
     + " || ']' AS label FROM labeled_heads"))
 def make_label(spark, sf_dir):
     columns = labels.label_to_columns(F.col("label"), "neutral")

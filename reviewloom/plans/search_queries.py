@@ -11,7 +11,8 @@ from .registry import query
 from .score_queries import wide_scores
 
 DIM = 64
-FILTERS = search.RagFilters(min_rating=2.5, price_max=2000, aspect_preferences={"quality": -0.9, "price": -0.9, "unknown": 0.1})
+CONDITIONS = [search.Condition("rating_average", "at least", 2.5), search.Condition("price", "at most", 2000)]
+PREFERENCES = {"quality": -0.9, "price": -0.9, "unknown": 0.1}
 
 
 def points(spark, sf_dir):
@@ -49,7 +50,7 @@ def _topk_sql(k, extra=""):
 
 
 def top(spark, sf_dir, k):
-    return search.vector_topk(points(spark, sf_dir), b.kb_queries(spark, sf_dir), k, FILTERS)
+    return search.vector_topk(points(spark, sf_dir), b.kb_queries(spark, sf_dir), k, CONDITIONS, PREFERENCES)
 
 
 @query("vector_topk", b.sql(["kb", "scores_wide", "kb_queries"], _topk_sql(5) + """
@@ -106,18 +107,21 @@ def lexical_topk(spark, sf_dir):
     return lexical(spark, sf_dir, queries, 10).withColumn("score", F.round("score", 6))
 
 
-# Each document type asks with its mean vector and with the text of its first document.
-_TYPE_TEXTS = """SELECT label::BIGINT AS query_id, text FROM (SELECT label, min(vec_id) AS doc_id FROM embeddings GROUP BY label)
-    JOIN documents USING (doc_id)"""
+# Every item of the benchmark asks with its text and with the mean vector of a document type.
+b.add_view("asked", ["kb_queries"], """
+    SELECT item_id AS query_id, text, embedding FROM benchmark
+    JOIN kb_queries q ON q.query_id = item_id % (SELECT count(*) FROM kb_queries)""")
 
 
-def type_texts(spark, sf_dir):
-    first = b.table(spark, sf_dir, "embeddings").groupBy(F.col("label").cast("bigint").alias("query_id")).agg(
-        F.min("vec_id").alias("doc_id"))
-    return first.join(b.text_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("query_id", "text")
+def asked(spark, sf_dir):
+    types = b.kb_queries(spark, sf_dir).withColumnRenamed("query_id", "type")
+    items = b.table(spark, sf_dir, "benchmark").withColumn("type", F.col("item_id") % b.rows_in(types))
+    return items.join(types, "type").select(F.col("item_id").alias("query_id"), "text", "embedding")
 
 
-@query("hybrid_topk", b.sql(["knn"], _bm25(_TYPE_TEXTS, "lexical") + """
+@query("hybrid_topk", b.sql(["asked"], f"""
+    , knn AS (SELECT q.query_id, e.vec_id AS id, row_number() OVER (PARTITION BY q.query_id ORDER BY {_COSINE} DESC, e.vec_id) AS rank
+        FROM embeddings e, asked q)""" + _bm25("SELECT query_id, text FROM asked", "lexical") + """
     , fused AS (SELECT coalesce(a.query_id, z.query_id) AS query_id, coalesce(a.id, z.id) AS id, a.rank AS dense_rank, z.rank AS lexical_rank,
             coalesce(1 / (60 + a.rank), 0) + coalesce(1 / (60 + z.rank), 0) AS score
         FROM (SELECT * FROM knn WHERE rank <= 20) a FULL JOIN (SELECT * FROM lexical WHERE rank <= 20) z
@@ -126,8 +130,11 @@ def type_texts(spark, sf_dir):
            CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, id) AS INTEGER) AS rank
     FROM fused QUALIFY rank <= 10"""))
 def hybrid_topk(spark, sf_dir):
-    words = lexical(spark, sf_dir, type_texts(spark, sf_dir), 20)
-    return search.hybrid_topk(knn(spark, sf_dir, 20), words, 10).withColumn("score", F.round("score", 6))
+    queries = asked(spark, sf_dir)
+    vectors = b.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    near = search.vector_knn(vectors, queries.select("query_id", "embedding"), 20)
+    words = lexical(spark, sf_dir, queries.select("query_id", "text"), 20)
+    return search.hybrid_topk(near, words, 10).withColumn("score", F.round("score", 6))
 
 
 @query("retrieval_smoke", b.sql(["no_view"], _bm25("SELECT item_id AS query_id, text FROM benchmark", "lexical") + f"""

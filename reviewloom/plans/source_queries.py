@@ -57,10 +57,10 @@ def sink_scores(spark, sf_dir):
     return spark.read.parquet(_stored_scores(spark, sf_dir))
 
 
-@query("scan_scores", b.sql(["scores_wide"], "SELECT product_id, quality_pos, quality_score FROM scores_wide WHERE quality_score > 0.5"))
+@query("scan_scores", b.sql(["scores_wide"], "SELECT product_id, quality_pos, quality_score FROM scores_wide"))
 def scan_scores(spark, sf_dir):
     scores = spark.read.schema(files.SCORES).parquet(_stored_scores(spark, sf_dir))
-    return scores.filter("quality_score > 0.5").select("product_id", "quality_pos", "quality_score")
+    return scores.select("product_id", "quality_pos", "quality_score")
 
 
 def _stored_documents(spark, sf_dir):
@@ -222,7 +222,7 @@ def latest_snapshot(spark, sf_dir):
     path = shared_dir(spark, "final")
     heads = b.review_heads(spark, sf_dir).select("review_id", "status")
     for i, rows in enumerate((heads.filter("status = 'F'"), heads.filter("status <> 'O'"), heads)):
-        rows.coalesce(1).write.parquet(f"{path}/final={i}")
+        rows.write.parquet(f"{path}/final={i}")
     stored = spark.read.parquet(path)
     newest = files.latest_snapshot(files.file_names(stored)).select(
         F.regexp_extract("path", r"(final=\d+)", 1).alias("snapshot"))
@@ -243,11 +243,11 @@ def archive_processed(spark, sf_dir):
         "status").agg(F.count("*").alias("n"))
 
 
-@query("object_store_io", b.sql(["reviews"], "SELECT product_id, rating, content FROM reviews WHERE status = 'O'"))
+@query("object_store_io", b.sql(["reviews"], "SELECT product_id, rating, content FROM reviews"))
 def object_store_io(spark, sf_dir):
     """Write and read one key of a store: any path Spark understands will do."""
     path = shared_dir(spark, "bucket") + "/processed/preprocessed/reviews.csv"
-    rows = b.reviews(spark, sf_dir).filter("status = 'O'")
+    rows = b.reviews(spark, sf_dir)
     files.write_csv(rows.select("product_id", "customer_name", "rating", "content",
                                 F.col("created_at").cast("timestamp").alias("created_at")), path)
     return files.read_csv(spark, path, files.RAW_REVIEW).select("product_id", "rating", "content")

@@ -52,14 +52,6 @@ def test_last_value_and_previous_rows(spark, block):
     assert sorted((r.k, r.o, tuple(r.past)) for r in got.collect()) == sorted(past)
 
 
-def test_salted_lookup(spark):
-    big = spark.createDataFrame(skewed(), "k int, id bigint")
-    small = spark.createDataFrame([(k, f"n{k}") for k in range(0, 10)], "k int, name string")
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        assert sorted(map(tuple, layout.salted_lookup(big, small, ["k"], "id", how).collect()), key=str) == sorted(
-            map(tuple, big.join(small, "k", how).collect()), key=str)
-
-
 def test_new_reviews(spark):
     main = spark.createDataFrame([(1, 1, "old")], "review_id bigint, product_id bigint, content string")
     pending = spark.createDataFrame([
@@ -204,9 +196,11 @@ def test_vector_topk(spark, monkeypatch, block):
     monkeypatch.setattr(search._query_blocks, "__defaults__", (block,))
     vectors, data, df = points(spark)
     queries = spark.createDataFrame([(q, vectors[q].tolist()) for q in (0, 1, 2, 3, 4)], "query_id bigint, embedding array<float>")
-    filters = search.RagFilters(doc_types=["t0", "t1"], min_rating=3, price_max=390, aspect_preferences={"quality": 0.1, "x": 1})
+    asked = [search.Condition(*c) for c in (("doc_type", "in", ["t0", "t1"]), ("rating_average", "at least", 3), ("price", "at most", 390))]
     got = {}
-    for r in search.vector_topk(df, queries, 3, filters).collect():
+    broken = [None, [float("nan")] * vectors.shape[1], [None] * vectors.shape[1], [float("inf")] * vectors.shape[1], []]
+    df = df.union(spark.createDataFrame([(1000 + i, v, "t0", 1, 4.0, 0.5) for i, v in enumerate(broken)], df.schema))
+    for r in search.vector_topk(df, queries, 3, asked, {"quality": 0.1, "x": 1}).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.id))
     unit = vectors.astype(np.float64) / np.linalg.norm(vectors.astype(np.float64), axis=1, keepdims=True)
     for q in range(5):
@@ -218,8 +212,7 @@ def test_vector_topk(spark, monkeypatch, block):
 
 def test_boost_counts_null_as_zero(spark):
     df = spark.createDataFrame([(None,), (0.5,)], "absa_price_score double")
-    f = search.RagFilters(aspect_preferences={"price": 0, "nothing": 0})
-    assert [r[0] for r in df.select(search.absa_boost(f)).collect()] == [0.0, 0.25]
+    assert [r[0] for r in df.select(search.aspect_boost(["price", "nothing"])).collect()] == [0.0, 0.25]
 
 
 def test_lsh_recall(spark):
