@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from reviewloom.plans import QUERIES
@@ -29,7 +30,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
         "bench", cpus, spark__sql__shuffle__partitions=cpus, spark__driver__memory="20g",
-        spark__ui__showConsoleProgress="false")
+        spark__ui__showConsoleProgress="false", spark__checkpoint__dir=tempfile.mkdtemp(prefix="reviewloom-bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()
     times = {}

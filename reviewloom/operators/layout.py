@@ -33,6 +33,24 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column | str], k: in
     return df.withColumn(rank, position).filter(F.col(rank) <= k)
 
 
+def running_totals(counts: DataFrame, block: str, n: str, levels: int = 2, width: int = 1 << 16) -> DataFrame:
+    """(block, _start): the sum of ``n`` over all smaller blocks, one row per block.
+
+    Blocks are summed up in runs of ``width`` numbers, those in runs again, and so on: no window holds
+    more than ``width`` rows, but for the last, whose rows are the runs of the highest level. With two
+    levels that is a few thousand even for numbers that are spread over all 64 bits.
+    """
+    before = lambda window: F.coalesce(F.sum(n).over(
+        window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if not levels:
+        return counts.select(block, before(Window.partitionBy(F.lit(0))).alias("_start"))
+    run = f"_run{levels}"
+    runs = counts.withColumn(run, F.floor(F.col(block) / width))
+    starts = running_totals(runs.groupBy(run).agg(F.sum(n).alias(n)), run, n, levels - 1, width)
+    inside = runs.select(block, run, before(Window.partitionBy(run)).alias("_inside"))
+    return inside.join(starts, run).select(block, (F.col("_start") + F.col("_inside")).alias("_start"))
+
+
 def with_position(
     df: DataFrame, order: str, keys: list[str] | None = None, name: str = "position", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -46,13 +64,13 @@ def with_position(
     keys = keys or []
     block = F.floor(F.col(order) / block_rows)
     blocked = df.withColumn("_block", block)
-    before = F.sum("_n").over(
-        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = (
-        df.select(*keys, block.alias("_block")).groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
-        .select(*keys, "_block", F.coalesce(before, F.lit(0)).alias("_start"))
-    )
+    counts = df.select(*keys, block.alias("_block")).groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
+    if keys:
+        before = F.sum("_n").over(
+            Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+        starts = counts.select(*keys, "_block", F.coalesce(before, F.lit(0)).alias("_start"))
+    else:
+        starts = running_totals(counts, "_block", "_n")
     inside = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(order))
     return (
         blocked.withColumn("_inside", inside).join(starts, [*keys, "_block"])

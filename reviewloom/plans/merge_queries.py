@@ -153,7 +153,7 @@ def has_review_semi(spark, sf_dir):
 def concat_chunks(spark, sf_dir):
     chunks = ranking.chunk_assignment(b.reviews(spark, sf_dir), "review_id", "reviews")
     path = shared_dir(spark, "chunks")
-    chunks.write.partitionBy("chunk").parquet(path)
+    chunks.write.parquet(path)
     return flatten.final_projection(spark.read.parquet(path), FINAL_COLUMNS)
 
 

@@ -212,7 +212,7 @@ def pending_files(spark, sf_dir):
     raw, clean = shared_dir(spark, "raw"), shared_dir(spark, "clean")
     files.append_daily(_daily(spark, sf_dir), raw)
     files.append_daily(_daily(spark, sf_dir, F.col("created_at") < newest), clean)
-    listed = [files.file_names(spark.read.schema("review_id bigint").parquet(p)).select(
+    listed = [files.file_names(spark, p).select(
         F.regexp_extract("path", r"ingest_date=\d{8}", 0).alias("path")) for p in (raw, clean)]
     return files.pending_files(*listed).select("day").distinct()
 
@@ -224,7 +224,7 @@ def latest_snapshot(spark, sf_dir):
     for i, rows in enumerate((heads.filter("status = 'F'"), heads.filter("status <> 'O'"), heads)):
         rows.write.parquet(f"{path}/final={i}")
     stored = spark.read.parquet(path)
-    newest = files.latest_snapshot(files.file_names(stored)).select(
+    newest = files.latest_snapshot(files.file_names(spark, path)).select(
         F.regexp_extract("path", r"(final=\d+)", 1).alias("snapshot"))
     named = stored.withColumn("snapshot", F.regexp_extract(F.col("_metadata.file_path"), r"(final=\d+)", 1))
     return named.join(newest, "snapshot", "left_semi").groupBy("snapshot").agg(F.count("*").alias("n"))

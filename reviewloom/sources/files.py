@@ -108,10 +108,10 @@ def dates_in(files: DataFrame, column: str = "path") -> DataFrame:
     return files.select(F.col(column).alias("path"), day.alias("day")).filter("day <> ''")
 
 
-def file_names(df: DataFrame) -> DataFrame:
-    """Distinct files a file-based table is read from, with their age."""
-    return df.select(F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_modification_time").alias("modified")).distinct()
+def file_names(spark: SparkSession, path) -> DataFrame:
+    """The files below ``path`` with their age. Only the listing is read, not what they hold."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return listed.select("path", F.col("modificationTime").alias("modified"))
 
 
 def pending_files(upstream: DataFrame, downstream: DataFrame) -> DataFrame:

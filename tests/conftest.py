@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,7 @@ def spark():
     from reviewloom.session import build_session
 
     session = build_session("tests", 8, spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
-                            spark__ui__showConsoleProgress="false")
+                            spark__ui__showConsoleProgress="false", spark__checkpoint__dir=tempfile.mkdtemp(prefix="reviewloom-tests-"))
     session.sparkContext.setLogLevel("ERROR")
     return session
 

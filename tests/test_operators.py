@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewloom.constants import ASPECTS
+from reviewloom.functions import labels
 from reviewloom.operators import (
     conversations, documents, evaluation, flatten, layout, learning, merge, profiling, ranking, scores, search,
 )
@@ -156,7 +157,7 @@ def test_chunks_and_vocabulary(spark):
     got = rows(ranking.chunk_assignment(df, "id", "b", size=10, block_rows=7), "id", "chunk_name")
     assert got == [(i * 2, f"b_chunk_{i // 10:03d}") for i in range(25)]
     words = spark.createDataFrame([(0, 0, "b"), (0, 1, "a"), (1, 0, "a"), (3, 0, "b"), (3, 1, "c")], "doc_id bigint, pos int, token string")
-    vocab = ranking.vocabulary(words, block_rows=2)
+    vocab = ranking.vocabulary(words)
     assert rows(vocab, "token", "id") == [("<pad>", 0), ("<unk>", 1), ("a", 3), ("b", 2)]
     assert rows(ranking.encode_tokens(words, vocab, 3), "doc_id", "ids") == [(0, [2, 3, 0]), (1, [3, 0, 0]), (3, [2, 1, 0])]
 
@@ -210,6 +211,50 @@ def test_vector_topk(spark, monkeypatch, block):
         assert sorted(got[q]) == [(i + 1, d[0]) for i, (_, d) in enumerate(ranked[:3])]
 
 
+def test_running_totals(spark):
+    rng = np.random.default_rng(4)
+    blocks = sorted({int(x) for x in rng.integers(0, 1 << 40, 200)} | set(range(50)))
+    df = spark.createDataFrame([(x, i % 5) for i, x in enumerate(blocks)], "b long, n long")
+    want, total = {}, 0
+    for i, x in enumerate(blocks):
+        want[x], total = total, total + i % 5
+    for levels, width in ((0, 4), (2, 1 << 16), (3, 7)):
+        assert dict(map(tuple, layout.running_totals(df, "b", "n", levels, width).collect())) == want
+
+
+def test_embed_with_keeps_all_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, "")], "id int, content string")
+    load = lambda: lambda texts: [[float(len(t))] for t in texts]
+    assert sorted(map(tuple, learning.embed_with(df, load).select("id", "embedding").collect())) == [
+        (1, [1.0]), (2, None), (3, [1.0]), (4, [0.0])]
+
+
+def test_labels_are_whole_lists(spark):
+    texts = ['[{"aspect": "price", "sentiment": "positive"}]', '[{"aspect": "price", "sentiment": "positive"}] x',
+             '{"aspect": "price", "sentiment": "positive"}', " [] ", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r[0] for r in df.orderBy("i").select(F.size(labels.parse_label(F.col("t")))).collect()] == [1, 0, 0, 0, 0]
+
+
+def test_all_pages_and_blank_stops(spark):
+    page = lambda p, items: (1, p, '{"data": [' + ", ".join(items) + "]}")
+    item = lambda text, at: f'{{"content": "{text}", "rating": 5, "created_at": {at}}}'
+    pages = spark.createDataFrame([page(p, [item(f"r{p}", 1_700_000_000)]) for p in range(1, 14)], "product_id long, page long, payload string")
+    assert flatten.flatten_reviews(pages).count() == 13 and flatten.flatten_reviews(pages, max_pages=5).count() == 5
+    old = spark.createDataFrame([page(1, [item("ok", 1_700_000_000), item(" ", 1_000_000_000), item("later", 1_700_000_000)])], pages.schema)
+    recent = ranking.take_while_recent(flatten.served_reviews(old), "created_ts", F.timestamp_seconds(F.lit(1_600_000_000)))
+    assert [r.content for r in flatten.with_content(recent).collect()] == ["ok"]
+
+
+def test_kb_rebuild_checks(spark, folder):
+    docs = spark.createDataFrame([("a", 1), ("b", 2)], "id string, product_id long")
+    merge.kb_rebuild(docs, folder)
+    assert spark.read.parquet(folder).count() == 2
+    for wrong in (docs.limit(0), docs.union(docs)):
+        with pytest.raises(ValueError):
+            merge.kb_rebuild(wrong, folder)
+
+
 def test_boost_counts_null_as_zero(spark):
     df = spark.createDataFrame([(None,), (0.5,)], "absa_price_score double")
     assert [r[0] for r in df.select(search.aspect_boost(["price", "nothing"])).collect()] == [0.0, 0.25]
@@ -282,5 +327,5 @@ def test_batch_scoring(spark):
         model, spark.createDataFrame([("p", "tốt đẹp"), ("p", "tệ"), ("p", "  ")], "k string, text string"), ["quality"], ["k"])
     got = {r.aspect: (r.pos, r.neg, r.pct) for r in figures.collect()}
     assert len(got) == len(ASPECTS) and got["quality"] == (1, 1, 50) and got["price"] == (0, 0, 0)
-    forest = learning.train(data, ["quality"], 50, learning.fit_forest, trees=5, depth=None)
+    forest = learning.train(data, ["quality"], 50, learning.fit_forest, trees=5)
     assert learning.evaluate(forest, data.filter("split = 'dev'"), ["quality"]).first().f1_macro == 1.0
