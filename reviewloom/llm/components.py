@@ -15,17 +15,25 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the node's smallest neighbour (or the node)."""
     both = _doubled(edges)
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Every smaller neighbour of a node, and the node, move to the smallest of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    """Of edges from a larger to a smaller node: every smaller neighbour of a node, and the node, move to the
+    smallest of them."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    moved = edges.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node either is a root or has one edge, to a root."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("out")))
+    roles = ends.groupBy("node").agg(F.sum("out").alias("outs"), F.min("out").alias("least"))
+    return roles.filter("outs > 1 OR outs = 1 AND least = 0").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the undirected ``edges`` (a, b): the smallest id that links reach.
 
@@ -37,12 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
     held = materialize(
         edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a != b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = None
-    while True:
-        now = held.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
+    while not _only_stars(held):
         held = materialize(_small_star(_large_star(held)), "edges")
     roots = held.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

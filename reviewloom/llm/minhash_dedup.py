@@ -32,10 +32,10 @@ SHINGLE = 5
 BUCKET = 4096
 SMALL_BUCKET = 64
 #: Sets, and shingles in them, that one task compares with each other or with as many others.
-BLOCK_SETS, BLOCK_SHINGLES = 1024, 4_000_000
+BLOCK_SETS, BLOCK_SHINGLES = 4096, 4_000_000
 #: Sets of a cluster that every block of it gets, so that its linked parts are known as one early.
 ANCHORS = 8
-COLUMNS = 4096
+COLUMNS, ROWS_AT_ONCE = 2048, 256
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -129,29 +129,30 @@ def _close(percent: int):
                         queue.extend(rest[fits])
                         rest = rest[~fits]
         i, j = np.concatenate(left).astype(np.int64), np.concatenate(right).astype(np.int64)
-        pairs = np.unique(np.sort(np.stack([node[i], node[j]], axis=1), axis=1), axis=0)
+        pairs = np.unique(node[_forest(i, j, len(rows))], axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return lambda batches: by_group(batches, ["key"], flush)
 
 
-def _shared(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
-    """Intersection sizes of every set with every other, by products of 0/1 blocks over the shingles."""
-    flat = np.concatenate([*sets, *others])
+def _shared(sets: list[np.ndarray], mine: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, sizes) for a few of the rows ``mine`` at a time: the sizes of their intersections with every set,
+    by products of 0/1 blocks over the shingles that several sets hold."""
+    flat = np.concatenate(sets)
     _, coded, times = np.unique(flat, return_inverse=True, return_counts=True)
-    kept = np.cumsum(times > 1) - 1
-    coded, often = kept[coded], (times > 1)[coded]
-    rows = np.repeat(np.arange(len(sets) + len(others)), [len(x) for x in (*sets, *others)])[often]
-    coded = coded[often]
+    often = (times > 1)[coded]
+    coded = (np.cumsum(times > 1) - 1)[coded][often]
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[often]
     order = np.argsort(coded, kind="stable")
     coded, rows = coded[order], rows[order]
-    total = np.zeros((len(sets), len(others)), np.float32)
+    total = np.zeros((len(mine), len(sets)), np.float32)
     for low in range(0, int(coded[-1]) + 1 if len(coded) else 0, COLUMNS):
         part = slice(*np.searchsorted(coded, [low, low + COLUMNS]))
-        ones = np.zeros((len(sets) + len(others), COLUMNS), np.float32)
+        ones = np.zeros((len(sets), COLUMNS), np.float32)
         ones[rows[part], coded[part] - low] = 1
-        total += ones[:len(sets)] @ ones[len(sets):].T
-    return total
+        total += ones[mine] @ ones.T
+    for at in range(0, len(mine), ROWS_AT_ONCE):
+        yield mine[at:at + ROWS_AT_ONCE], total[at:at + ROWS_AT_ONCE]
 
 
 def _confirmed(percent: int):
@@ -165,19 +166,23 @@ def _confirmed(percent: int):
         flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]
         found = []
         for start, end in zip(starts, np.append(starts[1:], len(rows))):
-            mine, all_ = np.arange(start, end)[opened[start:end]], np.arange(start, end)
-            if not len(mine) or len(all_) < 2:
+            n, size, names, roots = end - start, np.diff(at[start:end + 1]), node[start:end], root[start:end]
+            mine = np.flatnonzero(opened[start:end])
+            if not len(mine) or n < 2:
                 continue
-            size = at[all_ + 1] - at[all_]
-            if len(all_) == 2:  # the usual case: one pair
-                shared = np.array([[len(np.intersect1d(flat[at[start]:at[start + 1]], flat[at[start + 1]:at[end]], True))] * 2] * len(mine))
+            sets = [flat[at[i]:at[i + 1]] for i in range(start, end)]
+            if n == 2:  # the usual case: one pair
+                parts = [(mine, np.full((len(mine), 2), len(np.intersect1d(*sets, assume_unique=True))))]
             else:
-                pick = lambda ids: [flat[at[i]:at[i + 1]] for i in ids]
-                shared = _shared(pick(mine), pick(all_))
-            linked = 100 * shared >= percent * (size[mine - start][:, None] + size[None, :] - shared)
-            linked &= (root[mine][:, None] != root[all_][None, :]) & (node[mine][:, None] != node[all_][None, :])
-            i, j = np.nonzero(linked)
-            found.append(_forest(mine[i] - start, j, end - start) + start)
+                parts = _shared(sets, mine)
+            left, right = [], []
+            for some, shared in parts:
+                linked = 100 * shared >= percent * (size[some][:, None] + size - shared)
+                linked &= (roots[some][:, None] != roots) & (names[some][:, None] != names)
+                i, j = np.nonzero(linked)
+                left.append(some[i])
+                right.append(j)
+            found.append(_forest(np.concatenate(left), np.concatenate(right), n) + start)
         pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], ["a", "b"])
 
@@ -202,7 +207,7 @@ def _edges(index: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     hot = index.filter(F.col("n") > BUCKET).select(F.col("node").alias("a"), F.col("m").alias("b"))
     cold = index.filter(F.col("n") <= BUCKET).select("key", "node").join(
         classes.select("node", "n_shingles", "signature"), "node")
-    return cold.repartition("key").sortWithinPartitions("key").mapInArrow(
+    return cold.repartition("key").sortWithinPartitions("key", "node").mapInArrow(
         _close(percent), "a long, b long").unionByName(hot)
 
 
@@ -259,18 +264,19 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     links = materialize(_confirm(own.unionByName(anchors), sets, percent), "links")
     roots = materialize(components(links), "roots")
 
-    large = members.filter("blocks > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    parts = large.groupBy("cluster", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
-    main = parts.groupBy("cluster").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
-    rest = parts.join(main, "cluster").filter("root != main").groupBy("cluster").agg(
-        _blocks(F.sum("n"), F.sum("s")).alias("opens"))
-    large = materialize(large.join(main, "cluster").join(rest, "cluster"), "large")
-    opened = large.filter("root != main").withColumn("y", every("blocks")).select(
-        *group(_spread("opens", 1).alias("x"), "y", F.lit(True), F.col("root")))
-    against = large.withColumn("x", every("opens")).select(
-        *group("x", _spread("blocks", 0).alias("y"), F.lit(False), F.col("root")))
-    links = links.unionByName(_confirm(opened.unionByName(against), sets, percent))
-    roots = materialize(components(links), "roots")
+    if not members.filter("blocks > 1").isEmpty():  # else every pair of a cluster has met
+        large = members.filter("blocks > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        parts = large.groupBy("cluster", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+        main = parts.groupBy("cluster").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
+        rest = parts.join(main, "cluster").filter("root != main").groupBy("cluster").agg(
+            _blocks(F.sum("n"), F.sum("s")).alias("opens"))
+        large = materialize(large.join(main, "cluster").join(rest, "cluster"), "large")
+        opened = large.filter("root != main").withColumn("y", every("blocks")).select(
+            *group(_spread("opens", 1).alias("x"), "y", F.lit(True), F.col("root")))
+        against = large.withColumn("x", every("opens")).select(
+            *group("x", _spread("blocks", 0).alias("y"), F.lit(False), F.col("root")))
+        links = links.unionByName(_confirm(opened.unionByName(against), sets, percent))
+        roots = materialize(components(links), "roots")
 
     placed = classes.select("node", "doc_id").join(roots, "node", "left").select(
         "node", "doc_id", F.coalesce("root", "node").alias("root"))
