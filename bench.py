@@ -18,7 +18,7 @@ HEADLINE = [
     "aspect_scores", "aspect_scores_wide", "best_and_worst_products", "aspect_satisfaction",
     "aspect_sentiment_distribution", "clean_review_text", "parse_label", "normalize_label", "new_reviews_anti",
     "dedup_keep_first", "merge_labeled_reviews", "checkpoint_resume_join", "review_count_change", "top_reviews",
-    "doc_product_card", "doc_aspect_summary", "doc_reviews", "kb_replace_products", "product_report", "vector_topk",
+    "doc_product_card", "doc_aspect_summary", "doc_reviews", "kb_full_rebuild", "kb_replace_products", "product_report", "vector_topk",
     "lexical_topk", "hybrid_topk", "rag_context", "classification_report", "serving_metrics",
     "review_length_describe", "vocab_index", "tfidf_features", "history_window_asof", "flatten_reviews",
     "stream_aspect_scores", "batch_score",

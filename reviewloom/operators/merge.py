@@ -164,6 +164,13 @@ def kb_replace(kb: DataFrame, delta: DataFrame) -> DataFrame:
     return without_products(kb, delta).unionByName(delta, allowMissingColumns=True)
 
 
+def kb_lookup(spark, path: str, ids: DataFrame, buckets: int = 64) -> DataFrame:
+    """Documents of the given products from a stored knowledge base; buckets
+    that hold none of them are not read."""
+    wanted = ids.select("product_id", F.pmod(F.xxhash64("product_id"), F.lit(buckets)).cast("int").alias("bucket"))
+    return spark.read.parquet(path).join(wanted, ["bucket", "product_id"], "left_semi").drop("bucket")
+
+
 def kb_replace_stored(spark, path: str, delta: DataFrame, buckets: int = 64) -> None:
     """``kb_replace`` on a stored knowledge base, partitioned by ``bucket``.
 

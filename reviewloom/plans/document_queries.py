@@ -195,15 +195,29 @@ def unique_id_check(spark, sf_dir):
     SELECT id, doc_type, product_id, content FROM base_docs WHERE product_id NOT IN (SELECT product_id FROM delta_docs)
     UNION ALL SELECT * FROM delta_docs"""))
 def kb_replace_products(spark, sf_dir):
-    fresh = materialize(flat(delta_documents(spark, sf_dir)), "delta-documents")
-    return merge.kb_replace(flat(all_documents(spark, sf_dir)), fresh)
+    """The stored base is copied, as other queries read it, and its touched buckets are written anew."""
+    path = shared_dir(spark, "kb-updated")
+    spark.read.parquet(stored_kb(spark, sf_dir)).write.partitionBy("bucket").parquet(path)
+    merge.kb_replace_stored(spark, path, materialize(flat(delta_documents(spark, sf_dir)), "delta-documents"))
+    return spark.read.parquet(path).drop("bucket")
+
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_kb(spark, sf_dir) -> str:
+    """Folder of the base knowledge base, built by the first query of a session that needs it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path = shared_dir(spark, "kb")
+        merge.kb_rebuild(flat(all_documents(spark, sf_dir)), path)
+        _STORED[key] = path
+    return _STORED[key]
 
 
 @query("kb_full_rebuild", b.sql(["base_docs"], "SELECT id, doc_type, product_id, content FROM base_docs"))
 def kb_full_rebuild(spark, sf_dir):
-    path = shared_dir(spark, "kb")
-    merge.kb_rebuild(flat(all_documents(spark, sf_dir)), path)
-    return spark.read.parquet(path).drop("bucket")
+    return spark.read.parquet(stored_kb(spark, sf_dir)).drop("bucket")
 
 
 # --- reports -----------------------------------------------------------------------
@@ -232,9 +246,12 @@ def sample_reviews(spark, sf_dir):
     return ranking.sample_reviews(b.reviews(spark, sf_dir))
 
 
-def reports(spark, sf_dir):
+def reports(spark, sf_dir, wanted=None):
+    """Reports of all products, or of the ``wanted`` ones, whose texts alone are then read."""
+    of = lambda df: df if wanted is None else df.join(wanted, "product_id", "left_semi")
+    said = b.reviews(spark, sf_dir) if wanted is None else b.with_content(of(b.review_heads(spark, sf_dir)), spark, sf_dir)
     return conversations.product_reports(
-        b.products(spark, sf_dir), satisfaction(spark, sf_dir), ranking.sample_reviews(b.reviews(spark, sf_dir)),
+        of(b.products(spark, sf_dir)), of(satisfaction(spark, sf_dir)), ranking.sample_reviews(said),
         F.lit("🔄 Crawl + phân tích mới"), SHOP)
 
 
@@ -265,7 +282,7 @@ def linked_ids(spark, sf_dir):
     FROM linked_ids JOIN card_docs c USING (product_id)
     LEFT JOIN (SELECT * FROM review_docs WHERE position < 5) r USING (product_id)"""))
 def kb_point_lookup(spark, sf_dir):
-    docs = flat(all_documents(spark, sf_dir)).join(linked_ids(spark, sf_dir), "product_id", "left_semi")
+    docs = merge.kb_lookup(spark, stored_kb(spark, sf_dir), linked_ids(spark, sf_dir))
     cards = docs.filter("doc_type = 'product_card'").select(
         "product_id", F.col("id").alias("card_id"), F.col("content").alias("card"))
     place = F.regexp_extract("id", "_review_([0-9]+)$", 1).cast("int")
@@ -283,14 +300,16 @@ def kb_point_lookup(spark, sf_dir):
     FROM linked_ids i LEFT JOIN cached c USING (product_id) LEFT JOIN known k USING (product_id) LEFT JOIN reports r USING (product_id)"""))
 def tiered_lookup(spark, sf_dir):
     # Recently reviewed products have a cached report, well reviewed ones a card.
-    heads = b.review_heads(spark, sf_dir)
+    # The last tier makes reports only for products that the others lack.
+    heads, ids = b.review_heads(spark, sf_dir), linked_ids(spark, sf_dir)
     newest = heads.agg(F.max("created_at") - F.expr("INTERVAL 90 DAYS")).scalar()
     cached = heads.filter(F.col("created_at") >= newest).select("product_id").distinct().withColumn(
         "report", F.concat(F.lit("cached "), F.col("product_id").cast("string")))
-    known = d.product_cards(described_details(spark, sf_dir)).select(
-        "metadata.product_id", F.col("content").alias("report")).join(
+    cards = merge.kb_lookup(spark, stored_kb(spark, sf_dir), ids).filter("doc_type = 'product_card'")
+    known = cards.select("product_id", F.col("content").alias("report")).join(
         heads.groupBy("product_id").count().filter("count > 8"), "product_id", "left_semi")
-    return merge.tiered_lookup(linked_ids(spark, sf_dir), cached, known, reports(spark, sf_dir))
+    lacking = ids.join(cached, "product_id", "left_anti").join(known, "product_id", "left_anti")
+    return merge.tiered_lookup(ids, cached, known, reports(spark, sf_dir, lacking))
 
 
 # --- facets and warm-up queries ------------------------------------------------------------
