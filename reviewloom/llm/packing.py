@@ -27,12 +27,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
             names, texts = batch.columns
             rows, held = [], 0
             for name, ids in zip(names.to_pylist(), encoded(texts, tokenizer)):
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                ids = np.append(ids.astype("<u4"), np.array([end_id], "<u4"))
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]
                     rows.append((name, k, start, len(part), part.tobytes()))
                     held += len(part)
-                if held > 1 << 20:
+                if held > 1 << 18:
                     yield table(rows)
                     rows, held = [], 0
             yield table(rows)

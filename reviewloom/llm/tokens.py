@@ -15,9 +15,10 @@ import pyarrow.compute as pc
 
 from .words import slices, split_words
 
-#: A worker forgets its words when it knows so many.
-MOST_WORDS = 1_000_000
-SLICE_BYTES = 16 << 20
+#: A worker that knows so many words forgets those that only one slice had.
+MOST_WORDS = 400_000
+#: What a worker holds beside its words is a few tens of bytes for each byte of a slice.
+SLICE_BYTES = 2 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -40,17 +41,28 @@ class WordCoder:
 
     def _forget(self) -> None:
         self.slots: dict[str, int] = {}
-        self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.flat, self.used = np.zeros(8192, np.uint32), 0
+        self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        self.hits = np.zeros(1024, np.int32)
+        self.flat, self.used = np.zeros(8192, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32), 0
+
+    def _forget_rare(self) -> None:
+        """Keeps the words that came in more than one slice; all go if those alone are too many."""
+        n, slots, starts, sizes, flat, hits = len(self.slots), self.slots, self.starts, self.sizes, self.flat, self.hits
+        self._forget()
+        if (hits[:n] > 1).sum() <= MOST_WORDS // 2:
+            for word, slot in slots.items():
+                if hits[slot] > 1:
+                    self._store(word, flat[starts[slot]:starts[slot] + sizes[slot]])
 
     def _store(self, word: str, ids: list[int]) -> None:
         slot, end = len(self.slots), self.used + len(ids)
         if slot == len(self.starts):
             self.starts, self.sizes = np.resize(self.starts, 2 * slot), np.resize(self.sizes, 2 * slot)
+            self.hits = np.resize(self.hits, 2 * slot)
         if end > len(self.flat):
             self.flat = np.resize(self.flat, 2 * end)
         self.flat[self.used:end] = ids
-        self.starts[slot], self.sizes[slot], self.used = self.used, len(ids), end
+        self.starts[slot], self.sizes[slot], self.hits[slot], self.used = self.used, len(ids), 0, end
         self.slots[word] = slot
 
     def _learn(self, words: list[str]) -> None:
@@ -70,13 +82,14 @@ class WordCoder:
         coded = words.dictionary_encode()
         listed = coded.dictionary.to_pylist()
         self._learn([w for w in listed if w not in self.slots])
-        own = np.fromiter((self.slots[w] for w in listed), np.int64, len(listed))
-        return own[coded.indices.to_numpy()] if len(words) else np.empty(0, np.int64)
+        own = np.fromiter((self.slots[w] for w in listed), np.int32, len(listed))
+        self.hits[own] += 1
+        return own[coded.indices.to_numpy()] if len(words) else np.empty(0, np.int32)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another and where each text's ids begin (one more entry than texts)."""
         if len(self.slots) > MOST_WORDS:
-            self._forget()
+            self._forget_rare()
         words, at = split_words(texts)
         if not len(words):
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
@@ -88,9 +101,10 @@ class WordCoder:
         marks = self._slots_of(pc.fill_null(pc.struct_field(cut, "mark"), ""))
         parts = np.stack([stems, marks], axis=1)[coded.indices.to_numpy()].ravel()
         sizes = self.sizes[parts]
-        ends = np.cumsum(sizes)
-        flat = self.flat[np.repeat(self.starts[parts] - ends + sizes, sizes) + np.arange(ends[-1])]
-        return flat, np.concatenate([[0], ends])[2 * at]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        places = np.repeat(self.starts[parts] - ends + sizes, sizes)
+        places += np.arange(len(places))
+        return self.flat[places], np.concatenate([[0], ends])[2 * at]
 
 
 @functools.cache
@@ -99,7 +113,7 @@ def coder(path: str) -> WordCoder:
 
 
 def encoded(texts: pa.Array, path: str):
-    """The ids of each text as a uint32 array, null as an empty text."""
+    """The ids of each text as an array of unsigned integers, null as an empty text."""
     own = coder(path)
     for start, stop in slices(texts, SLICE_BYTES):
         flat, at = own.encode(texts.slice(start, stop - start))
