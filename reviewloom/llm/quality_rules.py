@@ -14,6 +14,9 @@ WINDOW = 8
 LEAST_WORDS, MOST_REPEATED_PERCENT = 20, 30
 #: A line is common when it stands in at least so many documents of its host, and in more than this share.
 COMMON_DOCUMENTS, COMMON_SHARE = 20, 0.05
+#: Near copies: of the smallest window hashes, so many are kept, and so many of them looked up; this share of them is equal.
+#: Words changed here and there leave it at 0.6 where 5-word shingles are at 0.75.
+SKETCH, LOOKED_UP, COPY_SHARE = 64, 8, 0.6
 #: A document is depleted when common lines hold more than this share of its words.
 DEPLETED_SHARE = 0.7
 
@@ -33,7 +36,12 @@ def lines(text: Column) -> Column:
 
 
 def repeated_words(text: Column, window: int = WINDOW) -> Column:
-    """Number of words that lie in a window of ``window`` words found twice or more in the text.
+    """Number of words that lie in a window of ``window`` words found twice or more in the text."""
+    return _windowed(text, window)["repeated"]
+
+
+def _windowed(text: Column, window: int = WINDOW) -> Column:
+    """``repeated``, see :func:`repeated_words`, and ``sketch``, the smallest hashes in order.
 
     Windows are 64-bit hashes; only where two are equal are they sorted, so that equal ones stand side by
     side, and the places of those are merged into stretches.
@@ -56,8 +64,9 @@ def repeated_words(text: Column, window: int = WINDOW) -> Column:
             lambda a: a["n"])
 
     hashed = F.transform(words(text), lambda w: F.xxhash64(w))
-    return _let(_let(hashed, windows), lambda found: F.when(
-        F.size(F.array_distinct(found)) < F.size(found), stretches(found)).otherwise(F.lit(0).cast("long")))
+    return _let(_let(hashed, windows), lambda found: _let(F.array_distinct(found), lambda own: F.struct(
+        F.when(F.size(own) < F.size(found), stretches(found)).otherwise(F.lit(0).cast("long")).alias("repeated"),
+        F.slice(F.sort_array(own), 1, SKETCH).alias("sketch"))))
 
 
 def base_rules(text: Column) -> list[Column]:
@@ -76,14 +85,33 @@ def _normal(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, SPACE, " ")))
 
 
+def _copies(base: DataFrame, held: DataFrame) -> DataFrame:
+    """(text_hash, copy_of) of the texts with shared lines that are near copies of another one.
+
+    Each of a text's ``LOOKED_UP`` smallest window hashes names the smallest text that has it too. The text
+    is a copy of the smallest of these whose sketch agrees with its own, so a shared passage alone, however
+    long its lines, makes no copy while the rest of the documents differs.
+    """
+    texts = materialize(base.join(held.select("text_hash").distinct(), "text_hash", "left_semi").filter(
+        F.size("sketch") > 0).groupBy("text_hash").agg(F.first("sketch").alias("sketch")), "sketches")
+    named = texts.select("text_hash", F.explode(F.slice("sketch", 1, LOOKED_UP)).alias("window"))
+    first = named.groupBy("window").agg(F.min("text_hash").alias("copy_of"))
+    asked = named.join(first, "window").filter("copy_of < text_hash").select("text_hash", "copy_of").distinct()
+    other = texts.select(F.col("text_hash").alias("copy_of"), F.col("sketch").alias("other"))
+    least = F.slice(F.sort_array(F.array_union("sketch", "other")), 1, SKETCH)
+    equal = F.size(F.array_intersect(F.array_intersect("sketch", "other"), least)) >= COPY_SHARE * F.size(least)
+    return asked.join(texts, "text_hash").join(other, "copy_of").filter(equal).groupBy("text_hash").agg(
+        F.min("copy_of").alias("copy_of"))
+
+
 def judge(docs: DataFrame, host: str = "source", common_documents: int = COMMON_DOCUMENTS,
           common_share: float = COMMON_SHARE, depleted_share: float = DEPLETED_SHARE) -> DataFrame:
     """doc_id, text_hash, the base figures, base_failed, removed_words, removed (line hashes) and kept.
 
     Lines are lower-cased, with one space for white space, and hashed. For every host the documents that
-    hold a line are counted; copies and near copies are one document there, told by their longest line,
-    as else a group of copies would turn into common lines and vanish as a whole. Common lines are
-    removed, and a document that loses most of its words with them is rejected.
+    hold a line are counted; copies and near copies are one document there (see :func:`_copies`), as else
+    a group of copies would turn into common lines and vanish as a whole. Common lines are removed, and a
+    document that loses most of its words with them is rejected.
 
     The text is read once; after that only hashes and counts move, combined before each shuffle. A line
     that a third of all documents hold is one row per task. Defined cases: null and empty texts have
@@ -92,28 +120,29 @@ def judge(docs: DataFrame, host: str = "source", common_documents: int = COMMON_
     """
     text = F.col("text").cast("string")
     listed = F.transform(F.transform(lines(text), _normal), lambda x: F.struct(
-        F.char_length(x).alias("chars"), x.alias("text"), F.xxhash64(x).alias("line"),
-        F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words")))
+        F.xxhash64(x).alias("line"), F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words")))
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     base = materialize(docs.select(
         F.col("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(host).cast("string").alias("host"),
-        *[c.alias(n) for n, c in zip(figures, base_rules(text))],
-        _let(listed, lambda found: F.struct(
-            F.array_max(found)["line"].alias("longest"),
-            F.transform(found, lambda x: F.struct(x["line"].alias("line"), x["words"].alias("words"))).alias("lines"))
-        ).alias("body")), "quality")
-
-    exploded = base.select(
-        "doc_id", "text_hash", "host", "body.longest", F.posexplode("body.lines").alias("place", "x")).select(
-        "doc_id", "text_hash", "host", "longest", "place", "x.line", "x.words")
-    versions = exploded.groupBy("host", "line", "longest").agg(F.count("*").alias("rows"))
-    counted = versions.groupBy("host", "line").agg(F.count("*").alias("documents")).filter(
-        F.col("documents") >= common_documents)
-    sizes = base.filter("body.longest is not null").groupBy("host", "body.longest").agg(F.count("*").alias("rows")).groupBy(
+        *[c.alias(n) for n, c in zip(figures[:-1], base_rules(text))], _windowed(F.coalesce(text, F.lit(""))).alias("_w"),
+        listed.alias("lines")).select("*", F.col("_w.repeated").alias(figures[-1]), "_w.sketch").drop("_w"), "quality")
+
+    exploded = base.select("doc_id", "text_hash", "host", F.posexplode("lines").alias("place", "x")).select(
+        "doc_id", "text_hash", "host", "place", "x.line", "x.words")
+    shared = exploded.select("host", "line", "text_hash").distinct().groupBy("host", "line").agg(
+        F.count("*").alias("documents")).filter(F.col("documents") >= common_documents)
+    shared = shared.select(F.col("host").alias("h"), F.col("line").alias("l"))
+    held = materialize(exploded.join(shared, exploded["host"].eqNullSafe(F.col("h")) & (F.col("line") == F.col("l"))).select(
+        "doc_id", "text_hash", "host", "place", "line", "words").distinct(), "shared_lines")
+    copies = _copies(base, held)
+    counted = held.select("host", "line", "text_hash").distinct().join(copies, "text_hash", "left").select(
+        "host", "line", F.coalesce("copy_of", "text_hash").alias("document")).distinct().groupBy("host", "line").agg(
+        F.count("*").alias("documents")).filter(F.col("documents") >= common_documents)
+    sizes = base.filter(F.size("lines") > 0).select("host", "text_hash").distinct().groupBy(
         F.col("host").alias("h")).agg(F.count("*").alias("all"))
     common = counted.join(sizes, F.col("host").eqNullSafe(F.col("h"))).filter(
         F.col("documents") > common_share * F.col("all")).select(F.col("h"), F.col("line").alias("l"))
-    hits = exploded.join(common, exploded["host"].eqNullSafe(F.col("h")) & (F.col("line") == F.col("l"))).select(
+    hits = held.join(common, held["host"].eqNullSafe(F.col("h")) & (F.col("line") == F.col("l"))).select(
         F.col("doc_id").alias("i"), F.col("text_hash").alias("t"), "place", "line", "words").distinct()
     lost = hits.groupBy("i", "t").agg(F.sum("words").alias("removed_words"), F.sort_array(F.collect_set("line")).alias("removed"))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))

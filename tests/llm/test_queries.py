@@ -272,6 +272,18 @@ def test_common_lines(spark, none, odd):
     assert quality_rules.clean(twice).count() == 2 * len(kept)
 
 
+def test_long_lines_of_different_documents(spark):
+    """A shared line counts the documents that differ otherwise, also where it is their longest; near copies are one."""
+    licence = " ".join(f"licence{k}" for k in range(60))
+    rows = [(i, f"{licence}\n{' '.join(f'v{i}w{k}' for k in range(12))}\n{' '.join(f'x{i}y{k}' for k in range(12))}", "h")
+            for i in range(30)]
+    near = [" ".join(f"line{j}word{k}" for k in range(12)) for j in range(12)]
+    rows += [(100 + i, "\n".join(x if j != i % 12 else f"{x} own{i}" for j, x in enumerate(near)), "n") for i in range(60)]
+    got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[i].removed_words == 60 and not got[i].kept for i in range(30))
+    assert all(got[100 + i].removed_words == 0 and got[100 + i].kept for i in range(60))
+
+
 # 7: packing
 
 def check_packing(rows, texts, tokenizer, capacity=2048):
