@@ -12,8 +12,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
 LEAST_WORDS, MOST_REPEATED_PERCENT = 20, 30
-#: A line is common when it stands in at least so many documents of its host, and in more than this share.
-COMMON_DOCUMENTS, COMMON_SHARE = 20, 0.05
+#: A line is common when it stands in at least so many documents of its host, however many the host has.
+COMMON_DOCUMENTS = 20
 #: Near copies: of the smallest window hashes, so many are kept, and so many of them looked up; this share of them is equal.
 #: Words changed here and there leave it at 0.6 where 5-word shingles are at 0.75.
 SKETCH, LOOKED_UP, COPY_SHARE = 64, 8, 0.6
@@ -105,7 +105,7 @@ def _copies(base: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, host: str = "source", common_documents: int = COMMON_DOCUMENTS,
-          common_share: float = COMMON_SHARE, depleted_share: float = DEPLETED_SHARE) -> DataFrame:
+          depleted_share: float = DEPLETED_SHARE) -> DataFrame:
     """doc_id, text_hash, the base figures, base_failed, removed_words, removed (line hashes) and kept.
 
     Lines are lower-cased, with one space for white space, and hashed. For every host the documents that
@@ -135,13 +135,10 @@ def judge(docs: DataFrame, host: str = "source", common_documents: int = COMMON_
     held = materialize(exploded.join(shared, exploded["host"].eqNullSafe(F.col("h")) & (F.col("line") == F.col("l"))).select(
         "doc_id", "text_hash", "host", "place", "line", "words").distinct(), "shared_lines")
     copies = _copies(base, held)
-    counted = held.select("host", "line", "text_hash").distinct().join(copies, "text_hash", "left").select(
-        "host", "line", F.coalesce("copy_of", "text_hash").alias("document")).distinct().groupBy("host", "line").agg(
-        F.count("*").alias("documents")).filter(F.col("documents") >= common_documents)
-    sizes = base.filter(F.size("lines") > 0).select("host", "text_hash").distinct().groupBy(
-        F.col("host").alias("h")).agg(F.count("*").alias("all"))
-    common = counted.join(sizes, F.col("host").eqNullSafe(F.col("h"))).filter(
-        F.col("documents") > common_share * F.col("all")).select(F.col("h"), F.col("line").alias("l"))
+    common = held.select("host", "line", "text_hash").distinct().join(copies, "text_hash", "left").select(
+        "host", "line", F.coalesce("copy_of", "text_hash").alias("document")).distinct().groupBy(
+        F.col("host").alias("h"), F.col("line").alias("l")).agg(F.count("*").alias("documents")).filter(
+        F.col("documents") >= common_documents).select("h", "l")
     hits = held.join(common, held["host"].eqNullSafe(F.col("h")) & (F.col("line") == F.col("l"))).select(
         F.col("doc_id").alias("i"), F.col("text_hash").alias("t"), "place", "line", "words").distinct()
     lost = hits.groupBy("i", "t").agg(F.sum("words").alias("removed_words"), F.sort_array(F.collect_set("line")).alias("removed"))

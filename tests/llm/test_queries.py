@@ -284,6 +284,16 @@ def test_long_lines_of_different_documents(spark):
     assert all(got[100 + i].removed_words == 0 and got[100 + i].kept for i in range(60))
 
 
+def test_common_lines_of_a_large_host(spark):
+    """The same line in the same number of documents is common on a small host and on a large one."""
+    line = "all the pages of this part have this line"
+    rows = [(k, f"{line}\n" * (k < 25) + " ".join(f"v{k}w{j}" for j in range(30)), "large") for k in range(600)]
+    rows += [(1000 + k, f"{line}\n" + " ".join(f"s{k}w{j}" for j in range(30)), "small") for k in range(25)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id for r in quality_rules.judge(df).filter("removed_words = 9").collect()}
+    assert got == {*range(25), *range(1000, 1025)}
+
+
 # 7: packing
 
 def check_packing(rows, texts, tokenizer, capacity=2048):
