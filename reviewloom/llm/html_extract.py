@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 DEVIATIONS = 0.8
 #: Reach of the Gaussian that smooths ratios along the page, in text nodes.
 REACH = 2
+#: A named part is no side part but a wrapper when it holds this share of the text that is not in other side parts.
+WRAPPER_SHARE = 0.8
 
 # Element names of HTML and the usual names of page parts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -24,7 +26,7 @@ BLOCKS = frozenset(
     "summary table tbody td tfoot th thead tr ul".split())
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption summary caption".split())
 OTHER_PARTS = frozenset(
-    "nav footer aside form button select option textarea label fieldset menu dialog template svg canvas head "
+    "nav footer aside button select option textarea label fieldset menu dialog template svg canvas head "
     "script style title noscript iframe noframes xmp object audio video search".split())
 OTHER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 OTHER_NAMES = frozenset(
@@ -33,6 +35,7 @@ OTHER_NAMES = frozenset(
     "header masthead topbar footer foot comment comments commentlist disqus replies reply respond share sharing social "
     "related recommended recommendations newsletter subscribe subscription signup login popup modal overlay widget "
     "widgets toolbar pagination pager skip tracking form search".split())
+WHOLE_NAMES = frozenset("p h1 h2 h3 h4 h5 h6".split())
 MAIN_NAMES = frozenset("article main".split())
 CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}), "tr": ("tr td th", {"table"}),
           "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}), "option": ("option", {"select"})}
@@ -47,29 +50,70 @@ RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>|\Z", re.I) for name in R
 
 
 class Element:
-    __slots__ = ("name", "path", "other", "main", "number", "parent")
+    __slots__ = ("name", "path", "other", "main", "number", "parent", "named")
 
-    def __init__(self, name, path, other, main, number, parent):
+    def __init__(self, name, path, other, main, number, parent, named=None):
         self.name, self.path, self.other, self.main, self.number, self.parent = name, path, other, main, number, parent
+        self.named = named  # the innermost element around it, or itself, whose names say that it is a side part
 
 
-def _described(attributes: str) -> tuple[bool, str]:
-    """Whether names, role or style say that an element is not the article's text; a label for its path."""
+def _described(element: str, attributes: str) -> tuple[bool, bool, str]:
+    """Whether an element is hidden; whether names or role say that it is not the article's text; a label for its
+    path. Headings and paragraphs are told by whole names only."""
     if not attributes:
-        return False, ""
-    other, label = False, ""
+        return False, False, ""
+    hidden, other, label = False, False, ""
+    whole = element in WHOLE_NAMES
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), html.unescape(m[2] or m[3] or m[4] or "")
         if name in ("class", "id"):
             label += f".{value}"
-            other |= any(part.lower() in OTHER_NAMES for part in NAME_PART.findall(value))
+            other |= any(part.lower() in OTHER_NAMES for part in (value.split() if whole else NAME_PART.findall(value)))
         elif name == "role":
             other |= value.lower() in OTHER_ROLES
         elif name == "style":
-            other |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
+            hidden |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
         else:
-            other |= name == "hidden" or value.lower() == "true"
-    return other, label
+            hidden |= name == "hidden" or value.lower() == "true"
+    return hidden, other, label
+
+
+def _keep_wrappers(nodes: list[tuple[int, str, Element, Element]]) -> None:
+    """Marks the elements of text in named side parts as other, but for parts that hold nearly all the text
+    that is not in side parts: they are wrappers around the article, whatever their names."""
+    inside, own, free, total, holds = {}, {}, 0, 0, set()
+    for _, value, e, _ in nodes:
+        if not e.other:
+            score = len(value.strip()) * (1 + len(MARKS.findall(value)))
+            total += score
+            if e.named is None:
+                free += score
+            else:
+                own[e.named] = own.get(e.named, 0) + score
+                if e.main > e.named.number:
+                    holds.add(e.named)
+    above = lambda e: e.parent.named
+    parts = set()
+    for part in own:
+        while part is not None and part not in parts:
+            parts.add(part)
+            part = above(part)
+    order = sorted(parts, key=lambda e: e.number)
+    for part in reversed(order):
+        inside[part] = inside.get(part, 0) + own.get(part, 0)
+        if above(part) is not None:
+            inside[above(part)] = inside.get(above(part), 0) + inside[part]
+            if part in holds:
+                holds.add(above(part))
+    dropped = set()
+    for part in order:
+        if above(part) in dropped or inside[part] < WRAPPER_SHARE * (inside[part] + free) or (
+                part not in holds and 2 * inside[part] < total):
+            dropped.add(part)
+        else:
+            free += own.get(part, 0)
+    for _, _, e, _ in nodes:
+        e.other = e.other or (e.named is not None and (e.named in dropped or e.named not in parts))
 
 
 def text_nodes(page: str) -> list[tuple[int, str, Element, Element]]:
@@ -126,18 +170,22 @@ def text_nodes(page: str) -> list[tuple[int, str, Element, Element]]:
                 at = RAW_END[name].search(page, at).end()
                 continue
             above = stack[-1]
-            other, label = _described(attributes)
+            hidden, other, label = _described(name, attributes)
             number += 1
             main = above.main
             if name in MAIN_NAMES or re.search(r"\brole\s*=\s*[\"']?main\b", attributes):
-                main, other = number, False
+                main, hidden, other = number, False, False
             elif name in ("html", "body"):
-                other = False
+                hidden = other = False
             path = paths.setdefault((above.path, name + label), len(paths) + 1)
-            other = above.other or other or name in OTHER_PARTS or (name == "header" and not above.main)
+            named = other or name == "form"
+            other = above.other or hidden or name in OTHER_PARTS or (name == "header" and not above.main)
             if not attributes.endswith("/") or name not in ("svg", "path", "g"):
-                stack.append(Element(name, path, other, main, number, above))
+                stack.append(Element(name, path, other, main, number, above, above.named))
+                if named:
+                    stack[-1].named = stack[-1]
                 open_names[name] = open_names.get(name, 0) + 1
+    _keep_wrappers(found)
     return found
 
 

@@ -229,6 +229,19 @@ def test_page(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("start", [
+    "<div class='has-sidebar'>", "<div class='no-sidebar'><div class='content-sidebar-wrap'>", "<div class='page-with-nav'>",
+    "<div id='search-results'>", "<form action=x>"])
+@pytest.mark.parametrize("mark", ["article", "main", "div"])
+def test_named_wrappers(start, mark):
+    """A word in the name of what is around the article doesn't delete it; side parts in it stay out."""
+    page = (f"{start}<{mark}><h1 class='entry-header'>Head</h1><p class='tracking-wide'>First, with a comma. Yes, really so.</p>"
+            f"<p>Second one, longer than the first, and more. Yes.</p></{mark}><div class='sidebar'><p>Side, too.</p></div>"
+            "<div class='comments'><article><p>Great, thanks.</p></article></div>")
+    assert html_extract.main_text(page) == (
+        "Head\nFirst, with a comma. Yes, really so.\nSecond one, longer than the first, and more. Yes.")
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None, "t"), (None, "u", "<p>a", "t"), (2, "u", "<p>a", "t"), (2, "u", "<p>a", "t"),
             (3, "u", "<article>" + "<p>long words. " * 20_000, "t"), (4, "u", "<div>" * 5000 + "deep", "t")]
