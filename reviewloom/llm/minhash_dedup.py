@@ -57,8 +57,9 @@ def _signatures(size: int):
                     least = np.minimum(least, hashed.min(axis=1))
                 signs.append(least.astype(np.uint16).view(np.int64) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(signs, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "node", "signature"])
+                [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()),
+                 pa.array(signs, pa.list_(pa.int64()))],
+                ["doc_id", "text_hash", "n_shingles", "node", "signature"])
 
     return run
 
@@ -76,10 +77,11 @@ def _sets(size: int):
 
 
 def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, node, signature): ``node`` is a 64-bit hash of the shingle set, so copies
+    """(doc_id, text_hash, n_shingles, node, signature): ``node`` is a 64-bit hash of the shingle set, so copies
     share it; it and the signature are null for an empty set."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _signatures(size), "doc_id long, n_shingles long, node long, signature array<long>")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text).alias("text_hash")).mapInArrow(
+        _signatures(size), "doc_id long, text_hash long, n_shingles long, node long, signature array<long>")
 
 
 def _signed(x: int) -> int:
@@ -240,6 +242,15 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     smallest unless its whole component has none; ``kept`` compares null-safely. An empty table gives
     an empty result. Other columns of ``docs`` are not read.
     """
+    return _grouped(docs, size, percent).select(
+        "doc_id", "n_shingles",
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, node, component_id and root, the component's node, for every row of ``docs``;
+    the last three are null for an empty set."""
     signed = materialize(signatures(docs, size), "signatures")
     classes = materialize(
         signed.filter("node is not null").groupBy("node", "n_shingles", "signature").agg(F.min("doc_id").alias("doc_id")),
@@ -281,11 +292,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     placed = classes.select("node", "doc_id").join(roots, "node", "left").select(
         "node", "doc_id", F.coalesce("root", "node").alias("root"))
     named = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = placed.join(named, "root").select("node", "component_id")
-    return signed.drop("signature").join(named, "node", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = placed.join(named, "root").select("node", "component_id", "root")
+    return signed.drop("signature").join(named, "node", "left")
 
 
 def _full_sets(members: DataFrame, docs: DataFrame, size: int) -> DataFrame:
@@ -301,12 +309,17 @@ def _full_sets(members: DataFrame, docs: DataFrame, size: int) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without those that repeat another: one row of each group, with all columns.
 
-    The row with the group's smallest doc_id stays; of rows that share that id, the one whose text comes first.
+    Of a group the row with the smallest doc_id stays, and of its texts the one with the smallest hash; a null
+    doc_id comes last. Rows with an empty set are in no group: they stay once for every doc_id and text, but for
+    rows that have neither a doc_id nor a word, which are no documents.
     """
-    lowest = F.lit(-(2**63)).cast("long")
-    kept = near_duplicates(docs, size, percent).filter("kept").select(
-        F.coalesce("doc_id", lowest).alias("_near_key")).distinct()
+    rows = materialize(_grouped(docs, size, percent), "grouped")
+    first = rows.filter("root is not null").groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")).select("first.doc_id", "first.text_hash")
+    alone = rows.filter("root is null and doc_id is not null").select("doc_id", "text_hash").distinct()
+    kept = first.unionByName(alone).select(F.col("doc_id").alias("_near_kept"), F.col("text_hash").alias("_near_text"))
+    ided = docs.withColumn("_near_id", F.col("doc_id").cast("long")).withColumn("_near_hash", F.xxhash64(F.col("text").cast("string")))
     return (
-        docs.withColumn("_near_key", F.coalesce(F.col("doc_id").cast("long"), lowest)).join(kept, "_near_key", "left_semi")
-        .withColumn("_near_rank", F.row_number().over(Window.partitionBy("_near_key").orderBy("text")))
-        .filter("_near_rank = 1").drop("_near_key", "_near_rank"))
+        ided.join(kept, F.col("_near_id").eqNullSafe(F.col("_near_kept")) & (F.col("_near_hash") == F.col("_near_text")), "left_semi")
+        .withColumn("_near_rank", F.row_number().over(Window.partitionBy("_near_id", "_near_hash").orderBy("text")))
+        .filter("_near_rank = 1").drop("_near_id", "_near_hash", "_near_rank"))

@@ -95,6 +95,16 @@ def test_odd_documents(odd, none):
     assert minhash_dedup.drop_near_duplicates(none).count() == 0
 
 
+def test_texts_that_share_an_id(spark):
+    """Of each group one text stays, however the ids of different groups repeat or lack."""
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcde")
+    rows = [(None, a), (None, b), (None, a), (5, c), (5, d), (3, d), (7, e), (7, e + " tail"), (8, c), (9, ""), (9, "")]
+    left = minhash_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = Counter((r.doc_id, r.text) for r in left)
+    assert got.pop((7, e), 0) + got.pop((7, e + " tail"), 0) == 1
+    assert got == Counter([(None, a), (None, b), (5, c), (3, d), (9, "")])
+
+
 def test_large_cluster_in_blocks(spark, monkeypatch):
     """A family of near copies, some linked and some not, cut into many blocks and hot buckets."""
     rng = np.random.default_rng(3)
