@@ -126,6 +126,7 @@ def text_nodes(page: str) -> list[tuple[int, str, Element, Element]]:
     root = Element("", 0, False, 0, 0, None)
     stack, open_names, found = [root], {}, []
     number, block, at, end = 0, 0, 0, len(page)
+    regions = set()  # numbers of main elements; what they hold, articles too, is one region
 
     def pop_to(names, stops) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -174,7 +175,9 @@ def text_nodes(page: str) -> list[tuple[int, str, Element, Element]]:
             number += 1
             main = above.main
             if name in MAIN_NAMES or re.search(r"\brole\s*=\s*[\"']?main\b", attributes):
-                main, hidden, other = number, False, False
+                main, hidden, other = (main if main in regions else number), False, False
+                if name != "article":
+                    regions.add(main)
             elif name in ("html", "body"):
                 hidden = other = False
             path = paths.setdefault((above.path, name + label), len(paths) + 1)

@@ -252,6 +252,14 @@ def test_named_wrappers(start, mark):
         "Head\nFirst, with a comma. Yes, really so.\nSecond one, longer than the first, and more. Yes.")
 
 
+def test_main_around_an_article():
+    body = "The body, with commas, and long enough. Yes, really so, and again, more of it. Yes."
+    items = "<ul><li>a</li><li>b</li><li>c</li><li>d</li></ul>"
+    page = (f"<main><h1>Title</h1><h2>Lead.</h2><article>{items}<p>{body}</p>{items}</article>"
+            "<h3>Closing.</h3><div class='comments'><article><p>Great.</p></article></div></main><p>Out.</p>")
+    assert html_extract.main_text(page) == f"Title\nLead.\na\nb\nc\nd\n{body}\na\nb\nc\nd\nClosing."
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None, "t"), (None, "u", "<p>a", "t"), (2, "u", "<p>a", "t"), (2, "u", "<p>a", "t"),
             (3, "u", "<article>" + "<p>long words. " * 20_000, "t"), (4, "u", "<div>" * 5000 + "deep", "t")]
