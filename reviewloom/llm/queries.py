@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewloom.session import materialize
 from . import (
-    chat_format, embedding_dedup, html_extract, minhash_dedup, mixing, packing, quality_rules, sharding, url_filter, warc,
+    chat_format, contamination, embedding_dedup, html_extract, minhash_dedup, mixing, packing, quality_rules, sharding, url_filter,
+    warc,
 )
 
 CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -198,3 +199,10 @@ def op8(spark, sf_dir):
 def op10(spark, sf_dir):
     archives = warc.write_archives(warc.with_originals(table(spark, sf_dir, "pages")))
     return warc.read_archives(spark, archives, payloads=False).drop("url")
+
+
+@query("op13_winnowing", contamination.SQL)
+def op13(spark, sf_dir):
+    found = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
