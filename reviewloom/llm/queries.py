@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewloom.session import materialize
 from . import (
-    chat_format, contamination, embedding_dedup, html_extract, minhash_dedup, mixing, packing, quality_rules, sharding, url_filter,
-    warc,
+    chat_format, contamination, embedding_dedup, html_extract, minhash_dedup, mixing, packing, quality_rules, sharding, spelling,
+    url_filter, warc,
 )
 
 CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -206,3 +206,52 @@ def op13(spark, sf_dir):
     found = contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+#: crc32 bit by bit, keys of every word with one character left out, and the forms followed by a recursive query.
+SPELLING_SQL = r"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+x AS (SELECT run, n, hex(coalesce(doc_id::VARCHAR, '') || ':' || run) AS bytes FROM r),
+h AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    [4294967295] || list_transform(range(0, (length(bytes) // 2)::BIGINT), lambda k: ('0x' || substr(bytes, 2 * k + 1, 2))::BIGINT),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1))))) AS crc FROM x),
+w AS (
+  SELECT CASE WHEN crc % 199 = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word,
+         sum(n)::BIGINT AS n FROM h GROUP BY 1),
+v AS (SELECT word, n FROM w WHERE length(word) >= 6 AND n >= 5),
+k AS (
+  SELECT word, n, substr(word, i + 2) || '$' || substr(word, 1, i) AS key, true AS cut
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM v)
+  UNION ALL
+  SELECT word, n, substr(word, i + 1) || '$' || substr(word, 1, i), false
+  FROM (SELECT word, n, unnest(range(0, length(word) + 1)) AS i FROM v)),
+p AS (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM k a JOIN k b ON a.key = b.key AND a.word <> b.word AND (a.cut OR b.cut)),
+f AS (
+  SELECT word, any_value(n) AS n, count(*)::BIGINT AS n_near, max(near_n) AS best_n,
+         arg_min(near, {'m': -near_n, 'w': near}) AS best FROM p GROUP BY word),
+g AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * v.n THEN best END AS form,
+         CASE WHEN best_n >= 5 * v.n THEN best_n END AS form_n FROM v LEFT JOIN f USING (word)),
+z(word, root, form) AS (
+  SELECT word, word, form FROM g
+  UNION ALL
+  SELECT z.word, g.word, g.form FROM z JOIN g ON z.form = g.word)
+SELECT g.word, g.form, z.root, g.n, g.n_near, g.form_n FROM g JOIN z ON g.word = z.word AND z.form IS NULL
+"""
+
+
+def misspelt(doc_id, run, every: int = 199):
+    """``run`` without one of its code points where the checksum of ``<doc_id>:<run>`` can be divided by ``every``."""
+    crc = F.crc32(F.concat(doc_id, F.lit(":"), run).cast("binary"))
+    at = (crc % F.char_length(run)).cast("int")
+    return F.when(crc % every == 0, F.concat(
+        F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.char_length(run)))).otherwise(run)
+
+
+@query("op12_permuterm", SPELLING_SQL)
+def op12(spark, sf_dir):
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), misspelt))
