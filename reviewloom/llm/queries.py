@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reviewloom.session import materialize
 from . import (
     chat_format, contamination, embedding_dedup, html_extract, minhash_dedup, mixing, packing, quality_rules, sharding, spelling,
-    url_filter, warc,
+    url_filter, warc, whitening,
 )
 
 CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -255,3 +255,8 @@ def misspelt(doc_id, run, every: int = 199):
 @query("op12_permuterm", SPELLING_SQL)
 def op12(spark, sf_dir):
     return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), misspelt))
+
+
+@query("op11_spectrum_slicing")
+def op11(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))

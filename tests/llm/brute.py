@@ -177,3 +177,77 @@ def page_records(rows, least=1000):
         revisit = first is not None and first != i
         out.append((i, len(p), hashlib.sha1(p).hexdigest(), "revisit" if revisit else "response", first if revisit else None))
     return sorted(out, key=lambda r: (r[0] is None, r[0] or 0, r))
+
+
+def whitened(vectors, most=32):
+    """(kept rows, n, deviations, whitened (rows x components), explained) of lists of floats, by numpy's eigenvectors."""
+    import numpy as np
+
+    kept = [i for i, v in enumerate(vectors) if v is not None and None not in v and all(map(math.isfinite, v))]
+    x = [[math.floor(64 * c) + 1_000_000 for c in vectors[i]] for i in kept]
+    n, sums = len(x), [sum(c) for c in zip(*x)]
+    deviation = [sum((n * a - s) ** 2 for a, s in zip(row, sums)) for row in x]
+    centred = np.array([[(n * a - s) / n for a, s in zip(row, sums)] for row in x])
+    values, found = np.linalg.eigh(centred.T @ centred / n)
+    values, found = values[::-1][:most], found[:, ::-1][:, :most]
+    return kept, n, deviation, centred @ found / np.sqrt(values), values / (centred ** 2).sum() * n
+
+
+def edits(a, b):
+    """Whether two words differ by exactly one inserted, deleted or replaced code point."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def spelt_words(rows, every=199, least_length=6, least_count=5):
+    """{word: n} of (doc_id, text)."""
+    import zlib
+
+    counts = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            counts[run[:h % len(run)] + run[h % len(run) + 1:] if h % every == 0 else run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= least_length and n >= least_count}
+
+
+def word_variants(counts, ratio=5):
+    """{word: (form, root, n, n_near, form_n)}, every word compared with every other."""
+    near = {w: [v for v in counts if abs(len(v) - len(w)) < 2 and edits(w, v)] for w in counts}
+    form = {}
+    for w, found in near.items():
+        best = min(found, key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= ratio * counts[w] else None
+    out = {}
+    for w in counts:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, counts[w], len(near[w]), counts[form[w]] if form[w] is not None else None)
+    return out
+
+
+def benchmark_hits(rows, items, longest=10):
+    """[(doc_id, n_words, n_hit, sorted ids)] of (doc_id, text) and (item_id, text)."""
+    split = lambda t: re.findall("[0-9a-z\u0080-\U0010ffff]+", lower(t or ""))
+    windows = defaultdict(set)
+    for i, text in items:
+        words = split(text)
+        g = min(longest, len(words))
+        for s in range(len(words) - g + 1 if g else 0):
+            windows[tuple(words[s:s + g])].add(i)
+    lengths, out = {len(w) for w in windows}, []
+    for i, text in rows:
+        words, hit, ids = split(text), set(), set()
+        for g in lengths:
+            for s in range(len(words) - g + 1):
+                found = windows.get(tuple(words[s:s + g]))
+                if found:
+                    hit |= set(range(s, s + g))
+                    ids |= found
+        out.append((i, len(words), len(hit), sorted(str(x) for x in ids if x is not None)))
+    return out
