@@ -114,8 +114,13 @@ def top_reviews(reviews: DataFrame) -> DataFrame:
     ranked = top_per_key(
         judged.filter("overall <> 'neutral'"), ["product_id", "overall"],
         [F.desc("size"), F.asc("review_id")], MAX_PER_POLARITY)
+    return shown_reviews(ranked, reviews.groupBy("product_id").agg(F.count("*").alias("n")))
+
+
+def shown_reviews(ranked: DataFrame, counts: DataFrame) -> DataFrame:
+    """Of the reviews ``ranked`` within product and polarity those that k lets through; ``counts`` (product_id, n)."""
     k = adaptive_k(F.col("n"))
-    counts = reviews.groupBy("product_id").agg(F.count("*").alias("n")).select(
+    counts = counts.select(
         "product_id", k.alias("k"), positive_limit(k).alias("pos_k"), negative_limit(k).alias("neg_k"))
     limit = F.when(F.col("overall") == "positive", F.col("pos_k")).otherwise(F.col("neg_k"))
     side = F.when(F.col("overall") == "positive", F.lit(0)).otherwise(F.lit(1))
@@ -142,10 +147,12 @@ def review_documents(det: DataFrame, picked: DataFrame) -> DataFrame:
         F.col("overall").alias("review_overall"))
 
 
-def new_review_documents(det: DataFrame, delta: DataFrame) -> DataFrame:
-    """A document for every delta review with content, beside the picked ones."""
+def new_review_documents(det: DataFrame, delta: DataFrame, overall: str | None = None) -> DataFrame:
+    """A document for every delta review with content, beside the picked ones. ``overall`` names a column
+    with the sentiment of the review where it is known; else the label tells it."""
+    judged = F.col(overall) if overall else overall_sentiment(F.col("label"))
     spoken = delta.withColumn("content", strip(F.col("content"))).filter("content <> ''").select(
-        "product_id", "review_id", "rating", "content", "source_file", overall_sentiment(F.col("label")).alias("overall"))
+        "product_id", "review_id", "rating", "content", "source_file", judged.alias("overall"))
     joined = spoken.join(det, "product_id")
     content = F.concat(F.lit("Review mới về '"), _shown(F.col("name"), ""), F.lit("':\n"), F.substring("content", 1, 800))
     return joined.select(

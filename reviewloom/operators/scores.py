@@ -33,7 +33,11 @@ def aspect_counts(reviews: DataFrame) -> DataFrame:
 
 def aspect_scores_wide(reviews: DataFrame, min_reviews: int = MIN_REVIEWS) -> DataFrame:
     """One row per product: n_reviews and pos, neu, neg, score, conf per aspect."""
-    counts = aspect_counts(reviews)
+    return scored(aspect_counts(reviews), min_reviews)
+
+
+def scored(counts: DataFrame, min_reviews: int = MIN_REVIEWS) -> DataFrame:
+    """Counts of each product with a score and a confidence per aspect."""
     columns = [F.col("product_id"), F.col("n_reviews")]
     for a in ASPECTS:
         pos, neu, neg = (F.col(f"{a}_{s}") for s in ("pos", "neu", "neg"))

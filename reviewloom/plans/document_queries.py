@@ -34,16 +34,16 @@ b.add_view("top_reviews", ["labeled_reviews", "adaptive"], f"""
         FROM (SELECT *, {OVERALL_SQL} AS overall FROM labeled_reviews) r JOIN adaptive a USING (product_id)
         WHERE overall <> 'neutral') WHERE rank <= CASE side WHEN 0 THEN pos_k ELSE neg_k END) WHERE copy = 1
     QUALIFY position < k""")
-_lines = []
+SUMMARY_LINES = []
 for _a in ASPECTS:
     _t = f"({_a}_pos + {_a}_neu + {_a}_neg)"
     _p, _n = (f"CAST(round_even(100 * {_a}_{s} / {_t}, 0) AS INTEGER)" for s in ("pos", "neg"))
     _verdict = VERDICT_SQL.replace("pct_pos", _p).replace("pct_neg", _n)
-    _lines.append(f"CASE WHEN {_t} > 0 THEN '- {ASPECT_DOC_NAMES[_a].capitalize()}: ' || {_verdict} || ' (' || {_p} || "
+    SUMMARY_LINES.append(f"CASE WHEN {_t} > 0 THEN '- {ASPECT_DOC_NAMES[_a].capitalize()}: ' || {_verdict} || ' (' || {_p} || "
                   f"'% tích cực, ' || {_n} || '% tiêu cực / ' || {_t} || ' ý kiến)' END")
 b.add_view("aspect_docs", ["details"], f"""
     SELECT 'prod_' || product_id || '_aspects' AS id, 'aspect_summary' AS doc_type, product_id,
-           'Tổng hợp đánh giá ''' || name || ''':' || chr(10) || concat_ws(chr(10), {', '.join(_lines)}) AS content
+           'Tổng hợp đánh giá ''' || name || ''':' || chr(10) || concat_ws(chr(10), {', '.join(SUMMARY_LINES)}) AS content
     FROM details WHERE n_reviews IS NOT NULL""")
 _CARD_HEAD = """'Sản phẩm: ' || name, 'Thương hiệu: ' || coalesce(brand_name, 'n/a'), 'Danh mục: ' || coalesce(category_name, 'n/a'),
     'Giá: ' || replace(format('{:,}', price), ',', '.') || 'đ',
