@@ -12,10 +12,10 @@ from reviewloom.session import materialize
 WINDOW = 10
 #: Rows of a table that goes to every task; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Bits of a fingerprint that hold the place in its window while the smallest is sought, and a start's bits for its window's length.
+#: The lowest bits of a k-gram's hash hold its place, so that the smallest of a window tells where it stands;
+#: the same number of bits holds a window's length beside its start.
 PLACE_BITS = 4
 ENDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RUN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -26,10 +26,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lowered, ENDS), "")
 
 
-def n_words(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(RUN)).cast("long")
-
-
 def gram_and_span(length: int) -> tuple[int, int]:
     """(k, w): the smallest of every ``w`` neighbouring k-grams is kept, so that any shared span of
     ``k + w - 1 = length`` words shares a fingerprint."""
@@ -37,31 +33,34 @@ def gram_and_span(length: int) -> tuple[int, int]:
     return k, length - k + 1
 
 
-def _smallest(hashes: str, start: Column, length: int) -> Column:
-    """The smallest k-gram hash of the window at ``start``; its lowest bits are its place, the first of equal ones."""
-    k, w = gram_and_span(length)
-    mask = F.lit(-(1 << PLACE_BITS)).cast("long")
-    grams = [
-        F.xxhash64(F.lit(length), *[F.get(hashes, start + a + i) for i in range(k)]).bitwiseAND(mask).bitwiseOR(F.lit(a).cast("long"))
-        for a in range(w)]
-    return F.least(*grams) if len(grams) > 1 else grams[0]
+def _grams(hashes: str, length: int) -> Column:
+    """The hash of every k-gram; its lowest bits are its place."""
+    k, _ = gram_and_span(length)
+    low = (1 << PLACE_BITS) - 1
+    return F.transform(hashes, lambda h, i: F.xxhash64(
+        F.lit(length), h, *[F.get(hashes, i + a) for a in range(1, k)]).bitwiseAND(F.lit(~low).cast("long")).bitwiseOR(
+        i.bitwiseAND(F.lit(low)).cast("long")))
 
 
 def fingerprints(rows: DataFrame, keys: list[str], length: int) -> DataFrame:
     """(keys, place, print) of the ``hashes`` (one 64-bit hash a word) in ``rows``: each k-gram that is the
     smallest of some window of ``length`` words, once. Rows with fewer words have none.
 
-    The windows are walked by an exploded counter, in generated code and without a shuffle; the smallest of
-    the window before tells whether a window's is new.
+    The windows are walked by an exploded counter, in generated code and without a shuffle. Of equal k-grams
+    in a window any one may stand for both, as their fingerprints are equal. A window whose smallest k-gram is
+    the one of the window before adds nothing.
     """
-    bits = F.lit((1 << PLACE_BITS) - 1).cast("long")
-    n = F.size("hashes")
-    walked = rows.select(*keys, "hashes", F.explode_outer(
+    _, w = gram_and_span(length)
+    low = F.lit((1 << PLACE_BITS) - 1)
+    least = lambda at: F.least(*[F.get("grams", at + a) for a in range(w)]) if w > 1 else F.get("grams", at)
+    n = F.size("grams")
+    walked = rows.select(*keys, _grams("hashes", length).alias("grams")).select(*keys, "grams", F.explode_outer(
         F.when(n >= length, F.sequence(F.lit(0), n - length))).alias("at")).filter("at is not null")
-    here, before = _smallest("hashes", F.col("at"), length), _smallest("hashes", F.col("at") - 1, length)
-    new = (F.col("at") == 0) | (here.bitwiseAND(bits) != before.bitwiseAND(bits) - 1)
-    return walked.filter(new).select(
-        *keys, (F.col("at") + here.bitwiseAND(bits)).cast("int").alias("place"), here.bitwiseAND(F.bitwise_not(bits)).alias("print"))
+    here = least(F.col("at"))
+    new = walked.filter((F.col("at") == 0) | (here != least(F.col("at") - 1))).select(*keys, "at", here.alias("here"))
+    ahead = (F.col("here").bitwiseAND(low.cast("long")).cast("int") - F.col("at")).bitwiseAND(low)
+    return new.select(*keys, (F.col("at") + ahead).alias("place"),
+                      F.col("here").bitwiseAND(F.bitwise_not(low.cast("long"))).alias("print"))
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -138,7 +137,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, longest: int = WINDOW) -
         theirs = materialize(fingerprints(listed.filter(F.col("length") == length), [], length).select("print").distinct(), "prints")
         found.append(fingerprints(hashed, ["doc_id", "text_hash"], length).join(
             _small(theirs, theirs.count()), "print", "left_semi").select("doc_id", "text_hash", "place", F.lit(length).alias("length")))
-    base = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), n_words(text).alias("n_words"))
+    base = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.size(words(text)).cast("long").alias("n_words"))
     if not found:
         return base.select("*", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"),
                            F.lit(False).alias("contaminated"))
