@@ -14,9 +14,15 @@ WINDOW = 8
 LEAST_WORDS, MOST_REPEATED_PERCENT = 20, 30
 #: A line is common when it stands in at least so many documents of its host, however many the host has.
 COMMON_DOCUMENTS = 20
-#: Near copies: of the smallest window hashes, so many are kept, and so many of them looked up; this share of them is equal.
-#: Words changed here and there leave it at 0.6 where 5-word shingles are at 0.75.
-SKETCH, LOOKED_UP, COPY_SHARE = 64, 8, 0.6
+#: An edited line begins or ends with the same words as a shared line: with 8 of them from 16 words on, with 3 below.
+SHORT_END, LONG_END = 3, 8
+ENDS = ["head", "tail", "long_head", "long_tail"]
+#: A text whose own lines are edited ones, for this share of their words, is a copy.
+EDITED_SHARE = 0.5
+#: Texts of shared lines only are copies of each other when so many of their smallest line hashes are equal.
+LEAST_LINES = 3
+#: Rows of a table of lines that goes to every task; a larger one is joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 #: A document is depleted when common lines hold more than this share of its words.
 DEPLETED_SHARE = 0.7
 
@@ -36,21 +42,15 @@ def lines(text: Column) -> Column:
 
 
 def repeated_words(text: Column, window: int = WINDOW) -> Column:
-    """Number of words that lie in a window of ``window`` words found twice or more in the text."""
-    return _windowed(text, window)["repeated"]
-
-
-def _windowed(text: Column, window: int = WINDOW) -> Column:
-    """``repeated``, see :func:`repeated_words`, and ``sketch``, the smallest hashes in order.
+    """Number of words that lie in a window of ``window`` words found twice or more in the text.
 
     Windows are 64-bit hashes; only where two are equal are they sorted, so that equal ones stand side by
     side, and the places of those are merged into stretches.
     """
 
     def windows(hashed: Column) -> Column:
-        return F.when(F.size(hashed) < window, F.array().cast("array<bigint>")).otherwise(F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(hashed) - window + 1, F.lit(1))),
-            lambda i: F.xxhash64(F.slice(hashed, i, window))))
+        each = F.transform(hashed, lambda h, i: F.xxhash64(h, *[F.get(hashed, i + k) for k in range(1, window)]))
+        return F.slice(each, 1, F.greatest(F.size(hashed) - (window - 1), F.lit(0)))
 
     def stretches(found: Column) -> Column:
         ordered = F.array_sort(F.transform(found, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -64,16 +64,15 @@ def _windowed(text: Column, window: int = WINDOW) -> Column:
             lambda a: a["n"])
 
     hashed = F.transform(words(text), lambda w: F.xxhash64(w))
-    return _let(_let(hashed, windows), lambda found: _let(F.array_distinct(found), lambda own: F.struct(
-        F.when(F.size(own) < F.size(found), stretches(found)).otherwise(F.lit(0).cast("long")).alias("repeated"),
-        F.slice(F.sort_array(own), 1, SKETCH).alias("sketch"))))
+    return _let(_let(hashed, windows), lambda found: F.when(
+        F.size(F.array_distinct(found)) < F.size(found), stretches(found)).otherwise(F.lit(0).cast("long")))
 
 
 def base_rules(text: Column) -> list[Column]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (all long); 0 for null and for texts without words."""
     whole = F.coalesce(text, F.lit(""))
     own = [
-        F.regexp_count(whole, F.lit(r"[^\x20\x09-\x0D]+")).alias("n_words"),
+        F.size(words(whole)).alias("n_words"),
         F.char_length(F.regexp_replace(whole, SPACE, "")).alias("word_chars"),
         F.regexp_count(whole, F.lit(SYMBOLS)).alias("n_symbols"),
         _let(lines(whole), lambda x: F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines"),
@@ -85,23 +84,48 @@ def _normal(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, SPACE, " ")))
 
 
-def _copies(base: DataFrame, held: DataFrame) -> DataFrame:
-    """(text_hash, copy_of) of the texts with shared lines that are near copies of another one.
+def line_hash(line: Column) -> Column:
+    """60 bits of the md5 of a normalised line."""
+    return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")
+
+
+def _line(line: Column) -> Column:
+    """A normalised line as hashes: itself, its first and its last words; and its number of words."""
+    n = F.char_length(line) - F.char_length(F.replace(line, F.lit(" "))) + 1
+    end = lambda count: F.xxhash64(F.lit(count), F.call_function("substring_index", line, F.lit(" "), F.lit(count)))
+    return F.struct(line_hash(line).alias("line"), n.cast("long").alias("words"), end(SHORT_END).alias("head"), end(-SHORT_END).alias("tail"),
+                    end(LONG_END).alias("long_head"), end(-LONG_END).alias("long_tail"))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A stored table for every task, if it has few enough rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _copies(rows: DataFrame, shared: DataFrame, ends: DataFrame) -> DataFrame:
+    """(host_key, text_hash, copy, keys): the texts that hold any of the ``shared`` lines, and which.
 
-    Each of a text's ``LOOKED_UP`` smallest window hashes names the smallest text that has it too. The text
-    is a copy of the smallest of these whose sketch agrees with its own, so a shared passage alone, however
-    long its lines, makes no copy while the rest of the documents differs.
+    ``copy`` is what a text counts as. What a text holds beside shared lines tells whether it is a document of
+    its own or a near copy: the other lines of a near copy are edited, so that most of them still begin or
+    end like a shared line (``ends``), those of a document that merely carries boilerplate do not. All edited
+    copies count as one; texts of nothing but shared lines count once for each set of smallest line hashes.
     """
-    texts = materialize(base.join(held.select("text_hash").distinct(), "text_hash", "left_semi").filter(
-        F.size("sketch") > 0).groupBy("text_hash").agg(F.first("sketch").alias("sketch")), "sketches")
-    named = texts.select("text_hash", F.explode(F.slice("sketch", 1, LOOKED_UP)).alias("window"))
-    first = named.groupBy("window").agg(F.min("text_hash").alias("copy_of"))
-    asked = named.join(first, "window").filter("copy_of < text_hash").select("text_hash", "copy_of").distinct()
-    other = texts.select(F.col("text_hash").alias("copy_of"), F.col("sketch").alias("other"))
-    least = F.slice(F.sort_array(F.array_union("sketch", "other")), 1, SKETCH)
-    equal = F.size(F.array_intersect(F.array_intersect("sketch", "other"), least)) >= COPY_SHARE * F.size(least)
-    return asked.join(texts, "text_hash").join(other, "copy_of").filter(equal).groupBy("text_hash").agg(
-        F.min("copy_of").alias("copy_of"))
+    of_line = rows.join(_small(shared), "key", "left")
+    long = F.col("words") >= 2 * LONG_END
+    of_line = of_line.withColumn("first", F.when(long, F.col("long_head")).otherwise(F.col("head"))).withColumn(
+        "last", F.when(long, F.col("long_tail")).otherwise(F.col("tail")))
+    begun = ends.select(F.col("end").alias("first"), F.lit(True).alias("begins"))
+    ended = ends.select(F.col("end").alias("last"), F.lit(True).alias("ends"))
+    seen = of_line.join(_small(begun), "first", "left").join(_small(ended), "last", "left")
+    own = F.col("is_shared").isNull()
+    edited = own & (F.col("begins").isNotNull() | F.col("ends").isNotNull())
+    texts = seen.groupBy("host_key", "text_hash").agg(
+        F.sum(F.when(own, F.col("words")).otherwise(0)).alias("own"), F.sum(F.when(edited, F.col("words")).otherwise(0)).alias("edited"),
+        F.collect_set(F.when(~own, F.struct("key", "line"))).alias("keys"))
+    least = F.slice(F.sort_array(F.transform("keys", lambda k: k["line"])), 1, LEAST_LINES)
+    copy = F.when(F.col("own") == 0, F.xxhash64(F.lit("set"), least)).when(
+        F.col("edited") >= EDITED_SHARE * F.col("own"), F.xxhash64(F.lit("edited"))).otherwise(F.col("text_hash"))
+    return texts.filter(F.size("keys") > 0).select("host_key", "text_hash", copy.alias("copy"), F.transform("keys", lambda k: k["key"]).alias("keys"))
 
 
 def judge(docs: DataFrame, host: str = "source", common_documents: int = COMMON_DOCUMENTS,
@@ -113,53 +137,50 @@ def judge(docs: DataFrame, host: str = "source", common_documents: int = COMMON_
     a group of copies would turn into common lines and vanish as a whole. Common lines are removed, and a
     document that loses most of its words with them is rejected.
 
-    The text is read once; after that only hashes and counts move, combined before each shuffle. A line
-    that a third of all documents hold is one row per task. Defined cases: null and empty texts have
-    figures of 0 and fail the base rules; a null host is a host; rows that repeat (same id and text) get
-    the same verdict; an empty table gives an empty result; other columns are not read.
+    The text is read once; after that only hashes and counts move: 16 bytes a line for the first count, which
+    proposes lines that enough different texts of a host share; only texts that hold such lines are looked at
+    again. Tables of shared lines go to every task while they are small. Groups are keys of host and line or of
+    host and text, combined before each shuffle, so a line that a third of all documents hold is one row per
+    task. Defined cases: null and empty texts have figures of 0 and fail the base rules; a null host is a
+    host; rows that repeat (same id and text) get the same verdict; an empty table gives an empty result;
+    other columns are not read.
     """
     text = F.col("text").cast("string")
-    listed = F.transform(F.transform(lines(text), _normal), lambda x: F.struct(
-        F.xxhash64(x).alias("line"), F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words")))
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     base = materialize(docs.select(
-        F.col("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(host).cast("string").alias("host"),
-        *[c.alias(n) for n, c in zip(figures[:-1], base_rules(text))], _windowed(F.coalesce(text, F.lit(""))).alias("_w"),
-        listed.alias("lines")).select("*", F.col("_w.repeated").alias(figures[-1]), "_w.sketch").drop("_w"), "quality")
-
-    exploded = base.select("doc_id", "text_hash", "host", F.posexplode("lines").alias("place", "x")).select(
-        "doc_id", "text_hash", "host", "place", "x.line", "x.words")
-    shared = exploded.select("host", "line", "text_hash").distinct().groupBy("host", "line").agg(
-        F.count("*").alias("documents")).filter(F.col("documents") >= common_documents)
-    shared = shared.select(F.col("host").alias("h"), F.col("line").alias("l"))
-    held = materialize(exploded.join(shared, exploded["host"].eqNullSafe(F.col("h")) & (F.col("line") == F.col("l"))).select(
-        "doc_id", "text_hash", "host", "place", "line", "words").distinct(), "shared_lines")
-    copies = _copies(base, held)
-    common = held.select("host", "line", "text_hash").distinct().join(copies, "text_hash", "left").select(
-        "host", "line", F.coalesce("copy_of", "text_hash").alias("document")).distinct().groupBy(
-        F.col("host").alias("h"), F.col("line").alias("l")).agg(F.count("*").alias("documents")).filter(
-        F.col("documents") >= common_documents).select("h", "l")
-    hits = held.join(common, held["host"].eqNullSafe(F.col("h")) & (F.col("line") == F.col("l"))).select(
-        F.col("doc_id").alias("i"), F.col("text_hash").alias("t"), "place", "line", "words").distinct()
-    lost = hits.groupBy("i", "t").agg(F.sum("words").alias("removed_words"), F.sort_array(F.collect_set("line")).alias("removed"))
+        "doc_id", F.xxhash64(text).alias("text_hash"), F.xxhash64(F.lit("host"), F.col(host).cast("string")).alias("host_key"),
+        *[c.alias(n) for n, c in zip(figures, base_rules(text))],
+        F.transform(F.transform(lines(text), _normal), _line).alias("lines")), "quality")
+
+    rows = base.select("doc_id", "text_hash", "host_key", F.posexplode("lines").alias("place", "x")).select(
+        "doc_id", "text_hash", "host_key", "place", "x.line", "x.words", F.xxhash64("host_key", "x.line").alias("key"),
+        *[F.xxhash64("host_key", f"x.{c}").alias(c) for c in ENDS])
+    shared = materialize(rows.select("key", "text_hash").distinct().groupBy("key").agg(F.count("*").alias("n")).filter(
+        F.col("n") >= common_documents).select("key", F.lit(True).alias("is_shared")), "shared")
+    ends = materialize(rows.join(_small(shared), "key").select(F.explode(F.array(*ENDS)).alias("end")).distinct(), "ends")
+    common = materialize(_copies(rows, shared, ends).select("copy", F.explode("keys").alias("key")).distinct().groupBy("key").agg(
+        F.count("*").alias("n")).filter(F.col("n") >= common_documents).select("key"), "common")
+    lost = rows.join(_small(common), "key").select(
+        F.col("doc_id").alias("i"), F.col("text_hash").alias("t"), F.col("host_key").alias("h"), "place", "words", "line").distinct()
+    lost = lost.groupBy("i", "t", "h").agg(F.sum("words").alias("removed_words"), F.sort_array(F.collect_set("line")).alias("removed"))
+    same = lambda a, z: F.col(a).eqNullSafe(F.col(z))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     gone = F.coalesce("removed_words", F.lit(0).cast("long"))
-    return base.join(lost, F.col("doc_id").eqNullSafe(F.col("i")) & F.col("text_hash").eqNullSafe(F.col("t")), "left").select(
-        "doc_id", "text_hash", *figures, failed.alias("base_failed"), gone.alias("removed_words"), "removed",
+    return base.join(lost, same("doc_id", "i") & same("text_hash", "t") & same("host_key", "h"), "left").select(
+        "doc_id", "text_hash", "host_key", *figures, failed.alias("base_failed"), gone.alias("removed_words"), "removed",
         (~failed & (gone <= depleted_share * F.col("n_words"))).alias("kept"))
 
 
-def clean(docs: DataFrame, **options) -> DataFrame:
+def clean(docs: DataFrame, host: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` that are kept, without their common lines; n_chars, if there, follows."""
     text = F.col("text").cast("string")
-    verdicts = judge(docs, **options).filter("kept").select(
-        F.col("doc_id").alias("_q_id"), F.col("text_hash").alias("_q_hash"), F.col("removed").alias("_q_removed")
-    ).groupBy("_q_id", "_q_hash").agg(F.first("_q_removed").alias("_q_removed"))
-    left = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("_q_removed", F.xxhash64(_normal(x)))), "\n")
-    out = docs.withColumn("_q_text", F.xxhash64(text)).join(
-        verdicts, F.col("doc_id").eqNullSafe(F.col("_q_id")) & (F.col("_q_text") == F.col("_q_hash"))
-    ).withColumn("text", F.when(F.col("_q_removed").isNull(), text).otherwise(left)).drop(
-        "_q_text", "_q_id", "_q_hash", "_q_removed")
+    verdicts = judge(docs, host, **options).filter("kept").select(F.struct(
+        "doc_id", "text_hash", "host_key").alias("_q_key"), F.col("removed").alias("_q_removed")).groupBy("_q_key").agg(
+        F.first("_q_removed").alias("_q_removed"))
+    key = F.struct(F.col("doc_id"), F.xxhash64(text).alias("text_hash"), F.xxhash64(F.lit("host"), F.col(host).cast("string")).alias("host_key"))
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("_q_removed", line_hash(_normal(x)))), "\n")
+    out = docs.withColumn("_q_own", key).join(verdicts, F.col("_q_own").eqNullSafe(F.col("_q_key"))).withColumn(
+        "text", F.when(F.col("_q_removed").isNull(), text).otherwise(left)).drop("_q_own", "_q_key", "_q_removed")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -147,16 +147,34 @@ l AS (
   FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS raw FROM n)
   WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')),
 u AS (SELECT doc_id, (count(*) - count(DISTINCT raw))::BIGINT AS n_dup_lines FROM l GROUP BY doc_id),
-m AS (SELECT doc_id, arg_max(line, {'n': length(line), 'x': line}) AS longest FROM l GROUP BY doc_id),
-f AS (
-  SELECT source, line, count(DISTINCT longest) AS documents FROM l JOIN m USING (doc_id) GROUP BY source, line),
-h AS (SELECT source, count(DISTINCT longest) AS total FROM l JOIN m USING (doc_id) GROUP BY source),
-c AS (
-  SELECT f.source, line FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source
-  WHERE documents >= 20 AND documents > 0.05::DOUBLE * total),
+e AS (
+  SELECT l.doc_id, l.source, md5(n.text) AS t, line, ('0x' || substr(md5(line), 1, 15))::BIGINT AS h, string_split(line, ' ') AS w
+  FROM l JOIN n USING (doc_id)),
+i AS (
+  SELECT * EXCLUDE w, len(w)::BIGINT AS words, 'h3' || array_to_string(w[:3], ' ') AS h3, 'h8' || array_to_string(w[:8], ' ') AS h8,
+         't3' || array_to_string(w[greatest(len(w) - 3, 0) + 1:], ' ') AS t3,
+         't8' || array_to_string(w[greatest(len(w) - 8, 0) + 1:], ' ') AS t8 FROM e),
+s AS (SELECT source, line FROM i GROUP BY source, line HAVING count(DISTINCT t) >= 20),
+a AS (SELECT DISTINCT i.source, unnest([h3, h8, t3, t8]) AS x
+      FROM i JOIN s ON i.source IS NOT DISTINCT FROM s.source AND i.line = s.line),
+o AS (
+  SELECT i.*, s.line IS NOT NULL AS shared, EXISTS (
+           SELECT 1 FROM a WHERE a.source IS NOT DISTINCT FROM i.source AND a.x = CASE WHEN words >= 16 THEN h8 ELSE h3 END)
+         OR EXISTS (
+           SELECT 1 FROM a WHERE a.source IS NOT DISTINCT FROM i.source AND a.x = CASE WHEN words >= 16 THEN t8 ELSE t3 END) AS alike
+  FROM i LEFT JOIN s ON i.source IS NOT DISTINCT FROM s.source AND i.line = s.line),
+q AS (
+  SELECT source, t, coalesce(sum(words) FILTER (WHERE NOT shared), 0) AS own,
+         coalesce(sum(words) FILTER (WHERE NOT shared AND alike), 0) AS edited,
+         list(DISTINCT line) FILTER (WHERE shared) AS held, list_sort(list(DISTINCT h) FILTER (WHERE shared))[:3]::VARCHAR AS least
+  FROM o GROUP BY source, t),
+z AS (
+  SELECT source, unnest(held) AS line, CASE WHEN own = 0 THEN least WHEN edited >= 0.5::DOUBLE * own THEN '' ELSE t END AS copy
+  FROM q WHERE held IS NOT NULL),
+c AS (SELECT source, line FROM z GROUP BY source, line HAVING count(DISTINCT copy) >= 20),
 g AS (
-  SELECT doc_id, sum(len(regexp_extract_all(l.line, '[^\x20\x09-\x0D]+')))::BIGINT AS removed_words
-  FROM l JOIN c ON l.source IS NOT DISTINCT FROM c.source AND l.line = c.line GROUP BY doc_id)
+  SELECT doc_id, sum(words)::BIGINT AS removed_words
+  FROM i JOIN c ON i.source IS NOT DISTINCT FROM c.source AND i.line = c.line GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
        coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed_words, 0) AS removed_words,
        n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words AS base_failed,
@@ -168,7 +186,7 @@ FROM n LEFT JOIN r USING (doc_id) LEFT JOIN u USING (doc_id) LEFT JOIN g USING (
 
 @query("op6_line_frequency", QUALITY_SQL)
 def op6(spark, sf_dir):
-    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("text_hash", "removed")
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("text_hash", "host_key", "removed")
 
 
 @query("op7_best_fit_packing")

@@ -87,30 +87,46 @@ def base_figures(text):
     return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(inside))
 
 
-def documents_with_line(rows):
-    """{host: {line: number of documents}} and {host: documents}; documents with one longest line are one."""
-    counts, every = defaultdict(lambda: defaultdict(set)), defaultdict(set)
-    for _, text, host in rows:
-        lines = [" ".join(WORD.findall(x)).lower() for x in (text or "").split("\n") if WORD.search(x)]
-        if lines:
-            longest = max(lines, key=lambda x: (len(x), x.encode()))
-            every[host].add(longest)
-            for x in lines:
-                counts[host][x].add(longest)
-    return {h: {x: len(s) for x, s in c.items()} for h, c in counts.items()}, {h: len(s) for h, s in every.items()}
+def line_ends(words, sizes):
+    """The first and last words that tell an edited line."""
+    return {(side, n, part) for n in sizes for side, part in (("head", words[:n]), ("tail", words[-n:]))}
 
 
-def quality(rows, least=20, share=0.05, depleted=0.7):
+def common_lines(rows, least=20):
+    """{host: lines} that enough documents hold, copies of one text and edited ones counted as one."""
+    texts = defaultdict(dict)
+    for _, text, host in rows:
+        texts[host][text] = [tuple(w.lower() for w in WORD.findall(x)) for x in (text or "").split("\n") if WORD.search(x)]
+    common = {}
+    for host, own in texts.items():
+        times = Counter(x for lines in own.values() for x in set(lines))
+        shared = {x for x, n in times.items() if n >= least}
+        ends = {e for x in shared for e in line_ends(x, (3, 8))}
+        holders = defaultdict(set)
+        for text, lines in own.items():
+            rest = [x for x in lines if x not in shared]
+            alike = sum(len(x) for x in rest if ends & line_ends(x, (8 if len(x) >= 16 else 3,)))
+            hashes = sorted({int(hashlib.md5(" ".join(x).encode()).hexdigest()[:15], 16) for x in lines if x in shared})
+            if not rest:
+                copy = tuple(hashes[:3])
+            elif 2 * alike >= sum(map(len, rest)):
+                copy = "edited"
+            else:
+                copy = ("text", text)
+            for x in set(lines) & shared:
+                holders[x].add(copy)
+        common[host] = {x for x, found in holders.items() if len(found) >= least}
+    return common
+
+
+def quality(rows, least=20, depleted=0.7):
     """{doc_id: (*figures, base_failed, removed_words, kept)} of (doc_id, text, host)."""
-    counts, every = documents_with_line(rows)
+    common = common_lines(rows, least)
     out = {}
     for i, text, host in rows:
         figures = base_figures(text)
-        removed = 0
-        for x in (text or "").split("\n"):
-            words = WORD.findall(x)
-            n = counts.get(host, {}).get(" ".join(words).lower(), 0) if words else 0
-            removed += len(words) * (n >= least and n > share * every[host])
+        lines = [tuple(w.lower() for w in WORD.findall(x)) for x in (text or "").split("\n")]
+        removed = sum(len(x) for x in lines if x in common[host])
         failed = figures[0] < 20 or 100 * figures[4] > 30 * figures[0]
         out[i] = (*figures, failed, removed, not failed and removed <= depleted * figures[0])
     return out

@@ -1,5 +1,6 @@
 """The registered queries against plain Python on the small tables, and on rows that are odd."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -315,6 +316,54 @@ def test_long_lines_of_different_documents(spark):
     assert all(got[100 + i].removed_words == 0 and got[100 + i].kept for i in range(60))
 
 
+@pytest.mark.parametrize("share", [50, 70, 71, 80, 90, 95])
+def test_pages_of_mostly_shared_lines(spark, share):
+    """However much boilerplate a host's pages hold, it goes, and pages that are little else go with it."""
+    shared = [" ".join(f"b{j}w{k}" for k in range(20)) for j in range(4)]
+    own = round(8000 / share) - 80
+    rows = [(i, "\n".join([*shared, " ".join(f"p{i}w{k}" for k in range(own))]), "h") for i in range(60)]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {(r.removed_words, r.kept) for r in got} == {(80, 80 <= 0.7 * (80 + own))}
+
+
+@pytest.mark.parametrize("change", ["edits", "dropped lines", "added words", "exact"])
+def test_near_copies_stay(spark, change):
+    """A large group of near copies with lines of many lengths does not make its own lines common."""
+    rng = random.Random(change)
+    base = [[f"b{j}w{k}" for k in range(rng.randint(4, 60))] for j in range(14)]
+
+    def copy(i):
+        if change == "edits":
+            return [[f"e{i}x{k}" if rng.random() < 0.03 else w for k, w in enumerate(x)] for x in base]
+        if change == "dropped lines":
+            return [x for x in base if rng.random() < 0.95]
+        return [[*x, f"n{i}"] if change == "added words" and rng.random() < 0.3 else x for x in base]
+
+    rows = [(i, "\n".join(" ".join(x) for x in copy(i)), "h") for i in range(200)] + [(900, "\n".join(" ".join(x) for x in base), "h")]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id: (r.removed_words, r.kept) for r in got} == {i: w[-2:] for i, w in brute.quality(rows).items()}
+    assert all(r.kept and not r.removed_words for r in got)
+
+
+@pytest.mark.parametrize("bound", [quality_rules.BROADCAST_ROWS, 0])
+def test_quality_of_random_lines(spark, monkeypatch, bound):
+    """Few lines over few hosts, with edits, copies and lines of one word, by broadcast and by shuffle."""
+    monkeypatch.setattr(quality_rules, "BROADCAST_ROWS", bound)
+    rng = random.Random(9)
+    pool = [" ".join(f"l{j}w{k}" for k in range(rng.choice((1, 2, 3, 9, 25)))) for j in range(40)]
+    rows = []
+    for i in range(500):
+        lines = rng.sample(pool, rng.randint(0, 6)) + [f"own{i} {' '.join(f'o{i}w{k}' for k in range(rng.randint(0, 30)))}"] * rng.randint(0, 2)
+        lines = [x + f" more{i}" if rng.random() < 0.2 else x.upper() if rng.random() < 0.1 else x for x in lines]
+        rng.shuffle(lines)
+        rows.append((i, "\n".join(lines), rng.choice(("a", "a", "a", "b", None))))
+    rows += [(600 + i, rows[i][1], rows[i % 7][2]) for i in range(60)]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    want = brute.quality(rows)
+    assert {r.doc_id: (r.removed_words, r.kept) for r in got} == {i: w[-2:] for i, w in want.items()}
+    assert 50 < sum(w[-2] > 0 for w in want.values())
+
+
 def test_common_lines_of_a_large_host(spark):
     """The same line in the same number of documents is common on a small host and on a large one."""
     line = "all the pages of this part have this line"
