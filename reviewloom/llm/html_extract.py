@@ -40,9 +40,10 @@ MAIN_NAMES = frozenset("article main".split())
 CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}), "tr": ("tr td th", {"table"}),
           "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}), "option": ("option", {"select"})}
 
-TOKEN = re.compile(
-    r"<!--(?:.*?)(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+# Names and attributes give nothing back once matched, so no place is looked at twice.
+END_TAG = re.compile(r"</([a-zA-Z][^\s/>]*+)[^>]*+>")
+START_TAG = re.compile(r"<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+BROKEN_TAG = re.compile(r"<([a-zA-Z][^\s/>]*+)([^>]*+)>")
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/]|\Z)", re.I)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 MARKS = re.compile(r"[.,;:!?…。、，；：！？¿¡«»“”\"()]")
@@ -50,11 +51,12 @@ RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>|\Z", re.I) for name in R
 
 
 class Element:
-    __slots__ = ("name", "path", "other", "main", "number", "parent", "named")
+    __slots__ = ("name", "path", "other", "main", "number", "parent", "named", "block")
 
     def __init__(self, name, path, other, main, number, parent, named=None):
         self.name, self.path, self.other, self.main, self.number, self.parent = name, path, other, main, number, parent
         self.named = named  # the innermost element around it, or itself, whose names say that it is a side part
+        self.block = self if parent is None or name in BLOCKS else parent.block  # the innermost block it is in
 
 
 def _described(element: str, attributes: str) -> tuple[bool, bool, str]:
@@ -116,6 +118,37 @@ def _keep_wrappers(nodes: list[tuple[int, str, Element, Element]]) -> None:
         e.other = e.other or (e.named is not None and (e.named in dropped or e.named not in parts))
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, closed name, opened name, attributes) of the tags, comments and declarations of a page in
+    order; ``at`` may be sent to go on there. A tag that no ``>`` ends is text. A page is read once: where quotes
+    of a tag are never closed, they are plain characters from there on."""
+    at, last, quotes = 0, page.rfind(">"), True
+    while (start := page.find("<", at)) >= 0:
+        mark, found = page[start + 1:start + 2], None
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4) + 3
+            found = start, end if end > 2 else len(page), "", "", ""
+        elif mark in ("!", "?"):
+            found = start, page.find(">", start) + 1 or len(page), "", "", ""
+        elif start > last:
+            pass
+        elif mark == "/":
+            tag = END_TAG.match(page, start)
+            found = tag and (start, tag.end(), tag[1], "", "")
+        elif mark.isascii() and mark.isalpha():
+            tag = START_TAG.match(page, start) if quotes else None
+            if tag is None:
+                quotes, tag = False, BROKEN_TAG.match(page, start)
+            found = start, tag.end(), "", tag[1], tag[2]
+        at = start + 1
+        if found:
+            at = found[1]
+            sent = yield found
+            if sent is not None:
+                at = sent
+                yield found
+
+
 def text_nodes(page: str) -> list[tuple[int, str, Element, Element]]:
     """(block number, text, element, block element) of every text node in page order, white space kept.
 
@@ -125,7 +158,7 @@ def text_nodes(page: str) -> list[tuple[int, str, Element, Element]]:
     paths: dict[tuple[int, str], int] = {}
     root = Element("", 0, False, 0, 0, None)
     stack, open_names, found = [root], {}, []
-    number, block, at, end = 0, 0, 0, len(page)
+    number, block, at, last, found_tags = 0, 0, 0, page.rfind(">"), tags(page)
     regions = set()  # numbers of main elements; what they hold, articles too, is one region
 
     def pop_to(names, stops) -> None:
@@ -140,19 +173,12 @@ def text_nodes(page: str) -> list[tuple[int, str, Element, Element]]:
 
     def text(value: str) -> None:
         if value:
-            own = next((e for e in reversed(stack) if e.name in BLOCKS), root)
-            found.append((block, html.unescape(value), stack[-1], own))
+            found.append((block, html.unescape(value), stack[-1], stack[-1].block))
 
-    while at < end:
-        tag = TOKEN.search(page, at)
-        if tag is None:
-            text(page[at:])
-            break
-        text(page[at:tag.start()])
-        at = tag.end()
-        name, attributes = (tag[2] or tag[4] or "").lower(), tag[3] or tag[5] or ""
-        if tag[1]:
-            closed = tag[1].lower()
+    for start, stop, closed, name, attributes in found_tags:
+        text(page[at:start])
+        at, closed, name = stop, closed.lower(), name.lower()
+        if closed:
             block += closed in BLOCKS
             if open_names.get(closed):
                 pop_to((closed,), ())
@@ -168,7 +194,8 @@ def text_nodes(page: str) -> list[tuple[int, str, Element, Element]]:
             if name in VOID:
                 continue
             if name in RAW:
-                at = RAW_END[name].search(page, at).end()
+                at = RAW_END[name].search(page, at).end() if at <= last else len(page)
+                found_tags.send(at)
                 continue
             above = stack[-1]
             hidden, other, label = _described(name, attributes)
@@ -188,6 +215,7 @@ def text_nodes(page: str) -> list[tuple[int, str, Element, Element]]:
                 if named:
                     stack[-1].named = stack[-1]
                 open_names[name] = open_names.get(name, 0) + 1
+    text(page[at:])
     _keep_wrappers(found)
     return found
 

@@ -1,6 +1,7 @@
 """The registered queries against plain Python on the small tables, and on rows that are odd."""
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -270,6 +271,27 @@ def test_odd_pages(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+BROKEN = ["<a", "a<w ", "<a b='", "</x ", '<a ">" ', "<b>x", "<div>x", "<p><b>x", "<script ", "<script></script ", "<!--", "<a b='>",
+          "<table><td><b>x", "<ul><li>x", '<div class="nav">x', "&#1"]
+
+
+@pytest.mark.parametrize("bit", BROKEN)
+def test_broken_pages_take_linear_time(bit):
+    """A megabyte of tags that never end, quotes that never close, or elements without end."""
+    page = bit * ((1 << 20) // len(bit))
+    start = time.process_time()
+    html_extract.main_text(page)
+    html_extract.main_text("<" + "w" * (1 << 20))
+    assert time.process_time() - start < 15  # a second or two; it was minutes for a hundredth of it
+
+
+def test_tags():
+    page = "a<b c='>'>x<!-- <i> --><!D>y</B >< z <script>1<2</script><q 'r>s<u v=\"w>t"
+    assert [(page[a:z], *rest) for a, z, *rest in html_extract.tags(page)] == [
+        ("<b c='>'>", "", "b", " c='>'"), ("<!-- <i> -->", "", "", ""), ("<!D>", "", "", ""), ("</B >", "B", "", ""),
+        ("<script>", "", "script", ""), ("</script>", "script", "", ""), ("<q 'r>", "", "q", " 'r"), ('<u v="w>', "", "u", ' v="w')]
+
+
 # 6: quality
 
 def test_quality_figures(spark):
