@@ -8,6 +8,7 @@ import os
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,8 +18,8 @@ TURN = re.compile(r"<\|turn\|>(.*?)<\|text\|>(.*?)<\|end\|>\n", re.S)
 ASSISTANT = "assistant"
 #: Tokens of a tree's sequence. A conversation that is longer is a sequence of its own.
 SEQUENCE_TOKENS = 8192
-#: Turns whose hashes make up the order in which conversations are dealt to sequences.
-ORDERED_TURNS = 8
+#: Parts of turns that a worker holds encoded and decoded: the marks around texts, and the turns of the tree at hand.
+HELD = 256
 
 
 def escape(text: str) -> str:
@@ -51,6 +52,16 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@functools.lru_cache(HELD)
+def _encoded(path: str, text: str) -> list[int]:
+    return _tokenizer(path).encode(text, add_special_tokens=False).ids
+
+
+@functools.lru_cache(HELD)
+def _decoded(path: str, ids: tuple[int, ...]) -> str:
+    return _tokenizer(path).decode(ids, skip_special_tokens=False)
+
+
 class Node:
     __slots__ = ("ids", "loss", "children", "leaves", "start", "end", "position", "parent", "seen")
 
@@ -79,33 +90,37 @@ class Tree:
             self.size += len(ids)
         node.leaves.append(name)
 
-    def rows(self) -> dict:
+    def row(self, name: str) -> pa.RecordBatch:
         """The tree depth-first: ids, position ids, loss mask; for each node its place, parent, the end of its
         subtree and the intervals of ids that it attends to: its ancestors' and, up to the token, its own."""
         ids, positions, mask, nodes, attention, leaves = [], [], [], [], [], []
-        stack = [(self.root, -1, 0, [])]
+        size, stack = 0, [(self.root, -1, 0, [])]
         while stack:
             node, above, position, seen = stack.pop()
             if isinstance(above, tuple):  # all below it is out
-                nodes[above[0]]["subtree_end"] = len(ids)
+                nodes[above[0]]["subtree_end"] = size
                 continue
-            number, start = len(nodes), len(ids)
-            ids += node.ids
-            positions += range(position, position + len(node.ids))
-            mask += [node.loss[0] <= i < node.loss[1] for i in range(len(node.ids))]
+            number, start = len(nodes), size
+            size += len(node.ids)
+            ids.append(np.asarray(node.ids, np.int32))
+            positions.append(np.arange(position, position + len(node.ids), dtype=np.int32))
+            counted = np.zeros(len(node.ids), bool)
+            counted[slice(*node.loss)] = True
+            mask.append(counted)
             own = list(seen)
             if node.ids and own and own[-1][1] == start:
-                own[-1] = (own[-1][0], len(ids))
+                own[-1] = (own[-1][0], size)
             elif node.ids:
-                own.append((start, len(ids)))
-            nodes.append({"parent": above, "start": start, "end": len(ids), "position": position, "subtree_end": len(ids)})
+                own.append((start, size))
+            nodes.append({"parent": above, "start": start, "end": size, "position": position, "subtree_end": size})
             attention.append([{"start": a, "end": b} for a, b in own])
-            leaves += [{"content": name, "node": number} for name in node.leaves]
+            leaves += [{"content": leaf, "node": number} for leaf in node.leaves]
             stack.append((node, (number,), 0, ()))
             for child in reversed(node.children.values()):
                 stack.append((child, number, position + len(node.ids), own))
-        return {"input_ids": ids, "position_ids": positions, "loss_mask": mask, "nodes": nodes, "attention": attention,
-                "leaves": leaves}
+        one = lambda parts: pa.ListArray.from_arrays(pa.array([0, size], pa.int32()), pa.array(np.concatenate(parts)))
+        small = [pa.array([x], SEQUENCE.field(c).type) for c, x in (("nodes", nodes), ("attention", attention), ("leaves", leaves))]
+        return pa.RecordBatch.from_arrays([pa.array([name]), one(ids), one(positions), one(mask), *small], schema=SEQUENCE)
 
 
 INTERVAL = pa.struct([("start", pa.int32()), ("end", pa.int32())])
@@ -123,7 +138,8 @@ SEQUENCE_SQL = (
 
 def conversations(turns: DataFrame) -> DataFrame:
     """conv_id, content, turns: one row per conversation, its (role, text) in the order of turn, role and text.
-    ``content`` is a hash of them. A conversation is the unit that is formatted and hashed as a whole."""
+    ``content`` is a hash of them. A conversation is the unit that is formatted and hashed as a whole. Null roles and
+    texts are empty, a null turn comes first, a null conv_id is a conversation; a row that repeats is a turn more."""
     empty = F.lit("")
     item = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), empty).alias("role"),
                     F.coalesce(F.col("text").cast("string"), empty).alias("text"))
@@ -135,17 +151,16 @@ def conversations(turns: DataFrame) -> DataFrame:
 def sequences(talks: DataFrame, tokenizer: str, tokens: int = SEQUENCE_TOKENS) -> DataFrame:
     """Prefix trees of the distinct contents of ``talks`` (content, turns), each as one token sequence.
 
-    Equal conversations are one leaf. The others are sorted by the hashes of their first turns, which brings
-    those with shared turns side by side in depth-first order, and a task fills one tree after another up to
-    ``tokens``. So conversations that begin alike, a third of the table say, lie in many sequences, each
+    Equal conversations are one leaf. The others are sorted by the hashes of their turns, all of them, which
+    brings those with shared turns side by side in depth-first order, and a task fills one tree after another
+    up to ``tokens``. So conversations that begin alike, a third of the table say, lie in many sequences, each
     of which holds the shared turns once; no group is gathered. Within a sequence every turn's position
-    ids go on from its parent's and the attention intervals cover just its ancestors.
+    ids go on from its parent's and the attention intervals cover just its ancestors. A turn is the unit of
+    the tokenizer, a conversation that of the tree, however long. An empty table gives no sequences.
     """
 
     def encode(role: str, text: str) -> tuple[list[int], tuple[int, int]]:
-        own = _tokenizer(tokenizer)
-        head, body, end = (own.encode(x, add_special_tokens=False).ids for x in (
-            START + escape(role) + MIDDLE, escape(text), END))
+        head, body, end = (_encoded(tokenizer, x) for x in (START + escape(role) + MIDDLE, escape(text), END))
         loss = (len(head), len(head) + len(body)) if role == ASSISTANT else (0, 0)
         return head + body + end, loss
 
@@ -156,15 +171,15 @@ def sequences(talks: DataFrame, tokenizer: str, tokens: int = SEQUENCE_TOKENS) -
                 turns = [(t["role"], t["text"]) for t in turns]
                 node, rest = tree.cost(turns)
                 if tree.size and tree.size + sum(len(r[1]) for r in rest) > tokens:
-                    yield pa.RecordBatch.from_pylist([tree.rows() | {"sequence_id": first}], SEQUENCE)
+                    yield tree.row(first)
                     tree, first = Tree(encode), None
                     node, rest = tree.cost(turns)
                 first = first or content
                 tree.add(content, node, rest)
         if first:
-            yield pa.RecordBatch.from_pylist([tree.rows() | {"sequence_id": first}], SEQUENCE)
+            yield tree.row(first)
 
-    order = F.transform(F.slice("turns", 1, ORDERED_TURNS), lambda t: F.xxhash64(t["role"], t["text"]))
+    order = F.transform("turns", lambda t: F.xxhash64(t["role"], t["text"]))
     distinct = talks.select("content", "turns").dropDuplicates(["content"]).withColumn("_order", order)
     dealt = distinct.repartitionByRange("_order", "content").sortWithinPartitions("_order", "content")
     return dealt.select("content", "turns").mapInArrow(run, SEQUENCE_SQL)
@@ -174,16 +189,17 @@ def read_back(packed: DataFrame, tokenizer: str) -> DataFrame:
     """content, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars of every conversation in the
     sequences, from its tokens: those of its last turn's ancestors, in order, and the loss mask over them."""
 
-    def paths(row: dict) -> Iterator[tuple]:
-        own = _tokenizer(tokenizer)
-        ids, mask, nodes = row["input_ids"], row["loss_mask"], row["nodes"]
+    def paths(ids: np.ndarray, mask: np.ndarray, row: dict) -> Iterator[tuple]:
+        nodes = row["nodes"]
         texts: dict[int, tuple[str, str]] = {}
 
         def of(number: int) -> tuple[str, str]:
             if number not in texts:
-                at = range(nodes[number]["start"], nodes[number]["end"])
-                whole = own.decode([ids[i] for i in at], skip_special_tokens=False)
-                texts[number] = whole, unescape(own.decode([ids[i] for i in at if mask[i]], skip_special_tokens=False))
+                own = slice(nodes[number]["start"], nodes[number]["end"])
+                tokens, counted = ids[own], mask[own]
+                cuts = np.flatnonzero(np.diff(counted)) + 1  # what is under the mask and what isn't are decoded once each
+                parts = [(_decoded(tokenizer, tuple(t.tolist())), c[0]) for t, c in zip(np.split(tokens, cuts), np.split(counted, cuts)) if len(t)]
+                texts[number] = "".join(t for t, _ in parts), unescape("".join(t for t, c in parts if c))
             return texts[number]
 
         for leaf in row["leaves"]:
@@ -204,7 +220,9 @@ def read_back(packed: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                rows = list(paths(batch.slice(k, 1).to_pylist()[0]))
+                one = batch.slice(k, 1)
+                ids, mask = (one.column(i).flatten().to_numpy(zero_copy_only=False) for i in (0, 1))
+                rows = list(paths(ids, mask, one.select(["nodes", "leaves"]).to_pylist()[0]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     return packed.select("input_ids", "loss_mask", "nodes", "leaves").mapInArrow(

@@ -310,13 +310,12 @@ def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PE
     """The rows of ``docs`` without those that repeat another: one row of each group, with all columns.
 
     Of a group the row with the smallest doc_id stays, and of its texts the one with the smallest hash; a null
-    doc_id comes last. Rows with an empty set are in no group: they stay once for every doc_id and text, but for
-    rows that have neither a doc_id nor a word, which are no documents.
+    doc_id comes last. Rows with an empty set are in no group: they stay once for every doc_id and text.
     """
     rows = materialize(_grouped(docs, size, percent), "grouped")
     first = rows.filter("root is not null").groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")).select("first.doc_id", "first.text_hash")
-    alone = rows.filter("root is null and doc_id is not null").select("doc_id", "text_hash").distinct()
+    alone = rows.filter("root is null").select("doc_id", "text_hash").distinct()
     kept = first.unionByName(alone).select(F.col("doc_id").alias("_near_kept"), F.col("text_hash").alias("_near_text"))
     ided = docs.withColumn("_near_id", F.col("doc_id").cast("long")).withColumn("_near_hash", F.xxhash64(F.col("text").cast("string")))
     return (

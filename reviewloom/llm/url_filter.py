@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 BITS_A_KEY, BITS_SET = 16, 4
 #: A block is one 64-bit number, so a look-up reads one row. Filters with more blocks are joined by a shuffle.
 BROADCAST_BLOCKS = 2_000_000
-#: Labels of a host that are looked up, from the right; longer names have none that are listed.
-MOST_LABELS = 32
 
 
 def host_of(url: Column) -> Column:
@@ -70,7 +68,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], listed: DataFrame
     theirs; the longest wins, of two as long the one that blocks, then the first by name. ``listed`` (url)
     is a list of any length: a page with a listed canonical URL is blocked unless a rule fits. All other
     pages are allowed. Both kinds go through one filter, as keys that a page's URL may spell: its suffixes
-    by label with its path cut to the lengths that rules have, and its canonical URL. What passes is joined
+    by label, as many labels as rules have, with its path cut to their lengths, and its canonical URL. What passes is joined
     to the list by hash, which takes out false positives.
 
     Defined cases: null urls and those without ``://`` have an empty host and path and are allowed; rows
@@ -79,10 +77,10 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], listed: DataFrame
     url = F.col("url").cast("string")
     rows = pages.select(F.col("page_id").cast("long"), url.alias("url")).withColumn("host", host_of(F.col("url"))).withColumn(
         "path", path_of(F.col("url")))
-    lengths = sorted({len(path) for _, _, path in rules})
+    lengths, most = sorted({len(path) for _, _, path in rules}), max((h.count(".") + 1 for _, h, _ in rules), default=1)
     labels = F.split("host", r"\.")
     suffix = F.transform(
-        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(MOST_LABELS))),
+        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most))),
         lambda n: F.array_join(F.slice(labels, -n, n), "."))
     spelt = F.flatten(F.transform(suffix, lambda s: F.array_compact(F.array(*[
         F.when(F.char_length("path") >= n, F.concat(F.lit("rule "), s, F.substring("path", 1, n))) for n in lengths]))))
