@@ -1,9 +1,8 @@
-"""Search over a knowledge base: filters, dense, lexical and fused top-k.
+"""What searches over a knowledge base share: filters, blocks of queries, best rows, fused ranks.
 
-A batch of queries is scored against all points in one pass: Spark splits the
+A batch of queries is scored against points in one pass: Spark splits the
 points over tasks, every task multiplies its Arrow batches with the query
-matrix and keeps the best few per query, and only those reach the shuffle.
-Exact results, no query x point table, nothing gathered in one place. The
+matrix and keeps the best few per query, and only those reach the shuffle. The
 query side is sent to the tasks in blocks of a fixed number of queries.
 """
 
@@ -15,18 +14,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..constants import ASPECTS, RERANK_WEIGHT
-from ..functions.text import terms
-from ..functions.vectors import dot
+from ..constants import ASPECTS
 from .layout import top_per_key
-from .merge import concat_parts
 
 QUERY_BLOCK = 2048
-# A text query brings its words along, so its blocks are smaller.
-TEXT_QUERY_BLOCK = 256
 ROW_BLOCK = 1024
 DIGITS = 12
 
@@ -73,7 +66,7 @@ def with_vectors(df: DataFrame, vector: str = "embedding") -> DataFrame:
 
 
 # --- blocks of queries ----------------------------------------------------------
-def _query_blocks(queries: DataFrame, size: int = QUERY_BLOCK) -> Iterator[list]:
+def query_blocks(queries: DataFrame, size: int = QUERY_BLOCK) -> Iterator[list]:
     """The query rows in lists of about ``size``: one look-up of the count, then
     one bounded list at a time, so the driver holds a single block."""
     blocks = -(-queries.count() // size)
@@ -84,7 +77,7 @@ def _query_blocks(queries: DataFrame, size: int = QUERY_BLOCK) -> Iterator[list]
             yield rows
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, query_ids: np.ndarray, k: int, floor: float = -np.inf):
+def best(scores: np.ndarray, ids: np.ndarray, query_ids: np.ndarray, k: int, floor: float = -np.inf):
     """The best ``k`` rows of each column. Scores are rounded first, so that
     equal points tie whatever their place in a batch; rows that tie with the
     k-th score are kept, the ranking by id decides later."""
@@ -104,7 +97,7 @@ def _batch(parts):
         [pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(s, pa.float64())], ["query_id", "id", "score"])
 
 
-def _keep_best(parts, k):
+def keep_best(parts, k):
     """Task-wide best ``k`` per query out of the batch-wise lists (ties kept)."""
     q, i, s = (np.concatenate(x) for x in zip(*parts))
     order = np.lexsort((i, -s, q))
@@ -115,7 +108,7 @@ def _keep_best(parts, k):
     return q[keep], i[keep], s[keep]
 
 
-def _scored(points: DataFrame, score_batch, k: int) -> DataFrame:
+def scored(points: DataFrame, score_batch, k: int) -> DataFrame:
     """Runs ``score_batch(record batch) -> lists of (query, id, score)`` in every
     task and passes on the best ``k`` per query and task."""
     def run(batches):
@@ -123,164 +116,20 @@ def _scored(points: DataFrame, score_batch, k: int) -> DataFrame:
         for batch in batches:
             found = [p for p in score_batch(batch) if len(p[0])]
             if found:
-                kept = _keep_best(found if kept is None else [kept, *found], k)
+                kept = keep_best(found if kept is None else [kept, *found], k)
         if kept is not None:
             yield _batch([kept])
 
     return points.mapInArrow(run, "query_id long, id long, score double")
 
 
-def vector_candidates(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` cosine scores of each query and task over (id, embedding)."""
-    points, parts = with_vectors(points), []
-    for rows in _query_blocks(with_vectors(queries.select("query_id", "embedding"))):
-        matrix = np.array([r.embedding for r in rows], dtype=np.float64)
-        norm = np.linalg.norm(matrix, axis=1, keepdims=True)
-        matrix = np.divide(matrix, norm, out=matrix, where=norm > 0)
-        query_ids = np.array([r.query_id for r in rows], dtype=np.int64)
-        shared = points.sparkSession.sparkContext.broadcast((query_ids, matrix))
-
-        def score(batch, shared=shared):
-            query_ids, matrix = shared.value
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            vectors = flat.reshape(len(ids), -1)
-            norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-            vectors = np.divide(vectors, norm, out=vectors, where=norm > 0)
-            for at in range(0, len(ids), ROW_BLOCK):
-                block = vectors[at:at + ROW_BLOCK] @ matrix.T
-                yield _best(block, ids[at:at + ROW_BLOCK], query_ids, k)
-
-        parts.append(_scored(points.select("id", "embedding"), score, k))
-    if not parts:
-        return points.sparkSession.createDataFrame([], "query_id long, id long, score double")
-    return concat_parts(parts)
-
-
-def vector_knn(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Exact ``k`` nearest points of each query with their rank."""
-    found = vector_candidates(points, queries, k)
-    return top_per_key(found, ["query_id"], [F.desc("score"), F.asc("id")], k)
-
-
-def vector_topk(points: DataFrame, queries: DataFrame, top_k: int, conditions: Iterable[Condition] = (),
-                preferences: dict[str, float] | None = None, weight: float = RERANK_WEIGHT) -> DataFrame:
-    """Filtered cosine search: 2 * top_k by similarity, re-ranked by the mean of
-    the preferred aspect scores, best ``top_k`` kept.
-
-    The filter runs before any scoring; the figures of a product are looked up
-    again only for the 2 * top_k survivors of each query.
-    """
-    preferences = preferences or {}
-    kept = points.filter(passing([*conditions, *liked(preferences)]))
-    near = vector_knn(kept, queries, 2 * top_k).withColumnsRenamed({"score": "cosine", "rank": "dense_rank"})
-    payload = kept.drop("embedding").withColumn("boost", aspect_boost(preferences))
-    rescored = near.join(payload, "id").withColumn("score", F.col("cosine") + F.lit(weight) * F.col("boost"))
-    return top_per_key(rescored, ["query_id"], [F.desc(F.round("score", 12)), F.asc("dense_rank")], top_k)
-
-
-# --- locality sensitive hashing --------------------------------------------------
-def lsh_planes(dim: int, tables: int, bits: int, seed: int = 42) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((tables * bits, dim))
-
-
-def lsh_buckets(df: DataFrame, dim: int, tables: int = 12, bits: int = 6, seed: int = 42) -> DataFrame:
-    """Adds ``buckets``: one hyperplane bucket per table, for unit vectors."""
-    planes = lsh_planes(dim, tables, bits, seed)
-    powers = 1 << np.arange(bits)
-
-    @F.pandas_udf("array<int>")
-    def bucket(vectors):
-        matrix = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-        signs = (matrix @ planes.T > 0).reshape(len(matrix), tables, bits)
-        return __import__("pandas").Series(list((signs * powers).sum(axis=2).astype(np.int32)))
-
-    return df.withColumn("buckets", bucket("embedding"))
-
-
-def vector_lsh_topk(points: DataFrame, queries: DataFrame, k: int, dim: int, tables: int = 12, bits: int = 6) -> DataFrame:
-    """Approximate top-k: only points sharing a bucket with the query are
-    compared exactly.
-
-    A pair is made once, in the first table it shares. Points are not moved,
-    however full a bucket is: the probes of a block of queries, at most
-    ``QUERY_BLOCK * tables`` rows, are sent to the points.
-    """
-    spark = points.sparkSession
-    hashed = lsh_buckets(with_vectors(points.select("id", "embedding")), dim, tables, bits)
-    placed = hashed.select("id", "embedding", "buckets", F.posexplode("buckets").alias("table", "bucket"))
-    same = F.array_position(F.zip_with("buckets", "qb", lambda a, z: a == z), True) - 1
-    parts = []
-    for rows in _query_blocks(with_vectors(queries.select("query_id", "embedding"))):
-        block = spark.createDataFrame(
-            [(r.query_id, [float(x) for x in r.embedding]) for r in rows], "query_id bigint, embedding array<double>")
-        probes = lsh_buckets(block, dim, tables, bits).select(
-            "query_id", F.col("embedding").alias("q"), F.col("buckets").alias("qb"),
-            F.posexplode("buckets").alias("table", "bucket"))
-        pairs = placed.join(F.broadcast(probes), ["table", "bucket"]).filter(same == F.col("table"))
-        scored = pairs.select("query_id", "id", dot(F.col("embedding"), F.col("q")).alias("score"))
-        parts.append(top_per_key(scored, ["query_id"], [F.desc("score"), F.asc("id")], k))
-    if not parts:
-        return spark.createDataFrame([], "query_id bigint, id bigint, score double, rank int")
-    return concat_parts(parts)
-
-
-# --- lexical and fused search ------------------------------------------------------
-def lexical_statistics(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Document frequency of each query term, combined on the map side."""
-    found = docs.select(F.explode(F.array_distinct("terms")).alias("term"))
-    return found.join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
-
-
-def lexical_topk(docs: DataFrame, queries: DataFrame, k: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """BM25 top-k of text queries (query_id, text) over documents (id, text).
-
-    score = sum over query terms of qtf * idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean length)),
-    idf = ln(1 + (n - df + 0.5) / (df + 0.5)).
-    """
-    spark = docs.sparkSession
-    tokens = docs.select("id", terms(F.col("text")).alias("terms"))
-    figures = tokens.agg(F.count("*").alias("n"), F.avg(F.size("terms")).alias("mean")).first()
-    parts = []
-    for rows in _query_blocks(queries.select("query_id", terms(F.col("text")).alias("terms")), TEXT_QUERY_BLOCK):
-        names = sorted({t for r in rows for t in r.terms})
-        if not names or not figures.n:
-            continue
-        vocabulary = spark.createDataFrame([(t,) for t in names], "term string")
-        df = {r.term: r.df for r in lexical_statistics(tokens, vocabulary).collect()}
-        names = sorted(df)
-        number = {t: i for i, t in enumerate(names)}
-        count = np.array([df[t] for t in names], dtype=np.float64)
-        idf = np.log(1 + (figures.n - count + 0.5) / (count + 0.5))
-        weights = np.zeros((len(names), len(rows)))
-        for j, r in enumerate(rows):
-            for t in r.terms:
-                if t in number:
-                    weights[number[t], j] += idf[number[t]]
-        query_ids = np.array([r.query_id for r in rows], dtype=np.int64)
-        shared = spark.sparkContext.broadcast((names, weights, query_ids, figures.mean))
-
-        def score(batch, shared=shared):
-            names, weights, query_ids, mean = shared.value
-            lookup = pa.array(names, pa.string())
-            for at in range(0, batch.num_rows, ROW_BLOCK // 4):
-                part = batch.slice(at, ROW_BLOCK // 4)
-                lists = part.column(1)
-                size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-                term = pc.fill_null(pc.index_in(lists.flatten(), value_set=lookup), -1).to_numpy(zero_copy_only=False)
-                row = np.repeat(np.arange(len(size)), size)
-                known = term >= 0
-                tf = np.bincount(row[known] * len(names) + term[known], minlength=len(size) * len(names))
-                tf = tf.reshape(len(size), len(names)).astype(np.float64)
-                norm = k1 * (1 - b + b * size / mean)
-                scores = (tf * (k1 + 1) / (tf + norm[:, None])) @ weights
-                yield _best(scores, part.column(0).to_numpy(zero_copy_only=False), query_ids, k, floor=0.0)
-
-        parts.append(_scored(tokens, score, k))
-    found = concat_parts(parts) if parts else spark.createDataFrame([], "query_id long, id long, score double")
-    return top_per_key(found, ["query_id"], [F.desc("score"), F.asc("id")], k)
+def units(vectors: np.ndarray) -> np.ndarray:
+    """Rows of length one; zero rows stay."""
+    norm = np.linalg.norm(vectors, axis=1, keepdims=True)
+    return np.divide(vectors, norm, out=np.zeros_like(vectors), where=norm > 0)
 
 
+# --- fused search ------------------------------------------------------------------
 def hybrid_topk(dense: DataFrame, lexical: DataFrame, k: int, constant: int = 60) -> DataFrame:
     """Reciprocal rank fusion of two ranked lists per query."""
     a = dense.select("query_id", "id", F.col("rank").alias("dense_rank"))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..constants import RERANK_WEIGHT, SMOKE_MIN_HITS, WORD
-from ..operators import conversations, search
+from ..operators import conversations, lexical_index, search, vector_index
 from . import bindings as b
 from .registry import query
 from .score_queries import wide_scores
+from .stored import stored
 
-DIM = 64
 CONDITIONS = [search.Condition("rating_average", "at least", 2.5), search.Condition("price", "at most", 2000)]
 PREFERENCES = {"quality": -0.9, "price": -0.9, "unknown": 0.1}
 
@@ -20,6 +20,12 @@ def points(spark, sf_dir):
     return search.with_aspect_scores(b.kb(spark, sf_dir), wide_scores(spark, sf_dir))
 
 
+def stored_points(spark, sf_dir) -> str:
+    """Folder of the points as codes and vectors."""
+    return stored(spark, sf_dir, "points", ["embeddings", "part", "orders", "lineitem"],
+                  lambda path: vector_index.store_vectors(points(spark, sf_dir), path))
+
+
 _COSINE = "round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), q.embedding), 12)"
 b.add_view("knn", ["kb_queries"], f"""
     SELECT q.query_id, e.vec_id AS id, {_COSINE} AS score,
@@ -28,8 +34,7 @@ b.add_view("knn", ["kb_queries"], f"""
 
 
 def knn(spark, sf_dir, k):
-    vectors = b.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return search.vector_knn(vectors, b.kb_queries(spark, sf_dir), k)
+    return vector_index.vector_knn(spark, stored_points(spark, sf_dir), b.kb_queries(spark, sf_dir), k)
 
 
 @query("vector_knn_join", b.sql(["knn"], """
@@ -50,7 +55,7 @@ def _topk_sql(k, extra=""):
 
 
 def top(spark, sf_dir, k):
-    return search.vector_topk(points(spark, sf_dir), b.kb_queries(spark, sf_dir), k, CONDITIONS, PREFERENCES)
+    return vector_index.vector_topk(spark, stored_points(spark, sf_dir), b.kb_queries(spark, sf_dir), k, CONDITIONS, PREFERENCES)
 
 
 @query("vector_topk", b.sql(["kb", "scores_wide", "kb_queries"], _topk_sql(5) + """
@@ -71,9 +76,11 @@ def similar_products(spark, sf_dir):
 
 @query("vector_lsh_topk")
 def vector_lsh_topk(spark, sf_dir):
-    """Approximate: its recall against ``vector_topk`` is tested with pytest."""
-    vectors = b.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return search.vector_lsh_topk(vectors, b.kb_queries(spark, sf_dir), 10, DIM)
+    """Approximate, from cells; every vector whose id is divisible by 20 asks. Recall is tested with pytest."""
+    vectors = b.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+    path = stored(spark, sf_dir, "cells", ["embeddings"], lambda path: vector_index.build_cells(vectors, path, "label"))
+    asking = vectors.filter("id % 20 = 0").select(F.col("id").alias("query_id"), "embedding")
+    return vector_index.vector_cells_topk(spark, vector_index.open_cells(spark, path), asking, 10)
 
 
 # --- lexical ------------------------------------------------------------------------
@@ -94,7 +101,8 @@ def _bm25(queries, name):
 
 def lexical(spark, sf_dir, queries, k):
     docs = b.text_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    return search.lexical_topk(docs, queries, k)
+    path = stored(spark, sf_dir, "postings", ["documents"], lambda path: lexical_index.build(docs, path))
+    return lexical_index.lexical_topk(spark, path, queries, k)
 
 
 b.add_view("no_view", [], "SELECT 1")
@@ -131,8 +139,7 @@ def asked(spark, sf_dir):
     FROM fused QUALIFY rank <= 10"""))
 def hybrid_topk(spark, sf_dir):
     queries = asked(spark, sf_dir)
-    vectors = b.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    near = search.vector_knn(vectors, queries.select("query_id", "embedding"), 20)
+    near = vector_index.vector_knn(spark, stored_points(spark, sf_dir), queries.select("query_id", "embedding"), 20)
     words = lexical(spark, sf_dir, queries.select("query_id", "text"), 20)
     return search.hybrid_topk(near, words, 10).withColumn("score", F.round("score", 6))
 

@@ -181,36 +181,6 @@ def test_retrain_trigger(spark):
     assert evaluation.retrain_trigger(spark.range(1), runs.select(F.lit(0.8).alias("avg_f1"))).first().triggered
 
 
-def points(spark, n=400, dim=16, seed=0):
-    rng = np.random.default_rng(seed)
-    vectors = rng.standard_normal((n, dim)).astype(np.float32)
-    vectors[n // 2:] = vectors[0]  # half of the points are copies of one
-    data = [(i, vectors[i].tolist(), f"t{i % 3}", i, 4.0 if i % 2 else None, None if i % 5 == 0 else (i % 7) / 7) for i in range(n)]
-    df = spark.createDataFrame(
-        data, "id bigint, embedding array<float>, doc_type string, price bigint, rating_average double, absa_quality_score double")
-    return vectors, data, df.repartition(5)
-
-
-@pytest.mark.parametrize("block", [2, 2048])
-def test_vector_topk(spark, monkeypatch, block):
-    monkeypatch.setattr(search, "QUERY_BLOCK", block)
-    monkeypatch.setattr(search._query_blocks, "__defaults__", (block,))
-    vectors, data, df = points(spark)
-    queries = spark.createDataFrame([(q, vectors[q].tolist()) for q in (0, 1, 2, 3, 4)], "query_id bigint, embedding array<float>")
-    asked = [search.Condition(*c) for c in (("doc_type", "in", ["t0", "t1"]), ("rating_average", "at least", 3), ("price", "at most", 390))]
-    got = {}
-    broken = [None, [float("nan")] * vectors.shape[1], [None] * vectors.shape[1], [float("inf")] * vectors.shape[1], []]
-    df = df.union(spark.createDataFrame([(1000 + i, v, "t0", 1, 4.0, 0.5) for i, v in enumerate(broken)], df.schema))
-    for r in search.vector_topk(df, queries, 3, asked, {"quality": 0.1, "x": 1}).collect():
-        got.setdefault(r.query_id, []).append((r["rank"], r.id))
-    unit = vectors.astype(np.float64) / np.linalg.norm(vectors.astype(np.float64), axis=1, keepdims=True)
-    for q in range(5):
-        ok = [d for d in data if d[2] in ("t0", "t1") and (d[4] or 0) >= 3 and d[3] <= 390 and d[5] is not None and d[5] >= 0.1]
-        near = sorted(ok, key=lambda d: (-round(float(unit[d[0]] @ unit[q]), 12), d[0]))[:6]
-        ranked = sorted(enumerate(near), key=lambda e: (-round(round(float(unit[e[1][0]] @ unit[q]), 12) + 0.15 * e[1][5] / 2, 12), e[0]))
-        assert sorted(got[q]) == [(i + 1, d[0]) for i, (_, d) in enumerate(ranked[:3])]
-
-
 def test_running_totals(spark):
     rng = np.random.default_rng(4)
     blocks = sorted({int(x) for x in rng.integers(0, 1 << 40, 200)} | set(range(50)))
@@ -260,26 +230,6 @@ def test_boost_counts_null_as_zero(spark):
     assert [r[0] for r in df.select(search.aspect_boost(["price", "nothing"])).collect()] == [0.0, 0.25]
 
 
-def test_lsh_recall(spark):
-    rng = np.random.default_rng(3)
-    centers = rng.standard_normal((10, 64))
-    data = [(i, (centers[i % 10] + 0.3 * rng.standard_normal(64))) for i in range(1000)]
-    data = [(i, (v / np.linalg.norm(v)).tolist()) for i, v in data]
-    df = spark.createDataFrame(data, "id bigint, embedding array<float>")
-    queries = df.filter("id < 20").withColumnRenamed("id", "query_id")
-    exact = set(rows(search.vector_knn(df, queries, 10), "query_id", "id"))
-    near = set(rows(search.vector_lsh_topk(df, queries, 10, 64), "query_id", "id"))
-    assert len(exact & near) / len(exact) >= 0.9
-
-
-def test_no_hits(spark):
-    df = spark.createDataFrame([(1, "hello world")], "id bigint, text string")
-    queries = spark.createDataFrame([(1, "???"), (2, "hello")], "query_id bigint, text string")
-    hits = search.lexical_topk(df, queries, 5)
-    assert rows(hits, "query_id", "id") == [(2, 1)]
-    assert rows(search.retrieval_smoke(hits, queries, 1), "query_id", "hits", "passed") == [(1, 0, False), (2, 1, True)]
-
-
 def test_chat_history(spark):
     chat = spark.createDataFrame(
         [(0, t, "user" if t % 2 == 0 else "assistant", f"m{t}" + (" https://s.vn/x-p7" if t == 4 else "")) for t in range(30)],
