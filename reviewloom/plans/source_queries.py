@@ -10,6 +10,7 @@ from ..functions.numbers import safe_int
 from ..operators import evaluation as ev, merge
 from ..session import shared_dir
 from ..sources import files
+from ..streaming import jobs
 from . import bindings as b
 from .document_queries import all_documents, flat
 from .evaluation_queries import MODEL_KEYS, _KEYS, _ROUND4, metrics, pairs, rounded
@@ -233,14 +234,13 @@ def latest_snapshot(spark, sf_dir):
 @query("archive_processed", b.sql(["review_heads"], """
     SELECT status, count(*) AS n FROM review_heads GROUP BY ALL"""))
 def archive_processed(spark, sf_dir):
-    """Reviews by status in one folder each; every folder is consumed, moved to
-    the archive, and read from there."""
-    inbox, done = shared_dir(spark, "inbox"), shared_dir(spark, "archive")
-    heads = b.review_heads(spark, sf_dir)
-    heads.select("review_id", "status").write.partitionBy("status").parquet(inbox)
-    moved = files.archive(spark, [f"{inbox}/status={s}" for s in ("F", "O", "P")], done, "20240101_000000")
-    return spark.read.option("basePath", done).schema("review_id bigint, status string").parquet(*moved).groupBy(
-        "status").agg(F.count("*").alias("n"))
+    """Reviews arrive by status in three rounds; every file is consumed, moved to the archive, and read from there."""
+    inbox, done, folder = (shared_dir(spark, x) for x in ("inbox", "archive", "consume"))
+    schema = "review_id bigint, status string"
+    for part in ("status = 'F'", "status = 'O'", "status NOT IN ('F', 'O')"):
+        b.review_heads(spark, sf_dir).select("review_id", "status").filter(part).write.mode("append").parquet(inbox)
+        jobs.consume(spark, inbox, schema, done, folder)
+    return spark.read.schema(schema).parquet(jobs.archived(done, inbox)).groupBy("status").agg(F.count("*").alias("n"))
 
 
 @query("object_store_io", b.sql(["reviews"], "SELECT product_id, rating, content FROM reviews"))

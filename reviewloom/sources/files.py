@@ -123,28 +123,3 @@ def latest_snapshot(files: DataFrame) -> DataFrame:
     """The newest file (path, modified); no row when there is none."""
     newest = files.agg(F.max_by("path", F.struct("modified", "path")).alias("path"), F.max("modified").alias("modified"))
     return newest.filter("path IS NOT NULL")
-
-
-def archive(spark: SparkSession, files: list[str], folder: str, stamp: str) -> list[str]:
-    """Moves consumed files to ``folder``; a taken name gets ``_<stamp>``.
-
-    Only metadata operations of the file system, for batch jobs; streams use
-    ``cleanSource=archive``.
-    """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    moved = []
-    for name in files:
-        source = path(name)
-        fs = source.getFileSystem(conf)
-        if not fs.exists(source):
-            continue
-        fs.mkdirs(path(folder))
-        target = path(f"{folder}/{source.getName()}")
-        if fs.exists(target):
-            stem, dot, suffix = source.getName().rpartition(".")
-            target = path(f"{folder}/{stem or suffix}_{stamp}{dot + suffix if stem else ''}")
-        if not fs.rename(source, target):
-            raise OSError(f"could not move {name} to {target}")
-        moved.append(target.toString())
-    return moved
