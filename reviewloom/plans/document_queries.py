@@ -11,6 +11,7 @@ from . import bindings as b
 from .registry import query
 from .scalar_queries import OVERALL_SQL, REPORT_MARK_SQL, REPORT_NOTE_SQL, VERDICT_SQL, sql_clean_html, sql_strip
 from .score_queries import satisfaction, wide_scores
+from .stored import stored
 
 SHOP = "Shop"
 
@@ -202,22 +203,17 @@ def kb_replace_products(spark, sf_dir):
     return spark.read.parquet(path).drop("bucket")
 
 
-_STORED: dict[tuple[str, str], str] = {}
-
-
 def stored_kb(spark, sf_dir) -> str:
-    """Folder of the base knowledge base, built by the first query of a session that needs it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        path = shared_dir(spark, "kb")
-        merge.kb_rebuild(flat(all_documents(spark, sf_dir)), path)
-        _STORED[key] = path
-    return _STORED[key]
+    """Folder of the base knowledge base, built by the first query that needs it after its tables changed."""
+    return stored(spark, sf_dir, "kb", ["orders", "lineitem", "part", "documents", "pages"],
+                  lambda path: merge.kb_rebuild(flat(all_documents(spark, sf_dir)), path))
 
 
 @query("kb_full_rebuild", b.sql(["base_docs"], "SELECT id, doc_type, product_id, content FROM base_docs"))
 def kb_full_rebuild(spark, sf_dir):
-    return spark.read.parquet(stored_kb(spark, sf_dir)).drop("bucket")
+    path = shared_dir(spark, "kb-rebuilt")
+    merge.kb_rebuild(flat(all_documents(spark, sf_dir)), path)
+    return spark.read.parquet(path).drop("bucket")
 
 
 # --- reports -----------------------------------------------------------------------

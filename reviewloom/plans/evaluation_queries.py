@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..constants import ASPECTS
 from ..functions import text
 from ..operators import evaluation as ev, profiling
+from ..session import shared_dir
 from . import bindings as b
 from .registry import query
 from .scalar_queries import sql_clean_review
@@ -135,8 +136,8 @@ def retrain_trigger(spark, sf_dir):
            round_even(l * 150 / 1e6 * 0.075::DOUBLE + l * 80 / 1e6 * 0.3::DOUBLE, 5) AS cost_usd FROM counts"""))
 def pipeline_row_metrics(spark, sf_dir):
     raw = b.labeled_reviews(spark, sf_dir)
-    processed = raw.filter(~text.is_blank(text.clean_review_text(F.col("content"))))
-    return ev.pipeline_row_metrics(raw, processed, processed.filter(F.size("label") > 0))
+    processed = ~text.is_blank(text.clean_review_text(F.col("content")))
+    return ev.label_and_count(raw, processed, F.size("label") > 0, shared_dir(spark, "labelled"))
 
 
 @query("serving_metrics", b.sql(["interactions"], """

@@ -301,10 +301,12 @@ def vocab_index(spark, sf_dir):
 @query("encode_tokens", b.sql(["vocab"], """
     SELECT doc_id, array_to_string(list_concat(list(coalesce(v.id, 1) ORDER BY pos),
            list_resize([]::BIGINT[], 128 - count(*), 0::BIGINT)), ' ') AS ids
-    FROM doc_tokens LEFT JOIN vocab v USING (token) WHERE pos < 128 GROUP BY doc_id"""))
+    FROM doc_tokens LEFT JOIN vocab v USING (token) WHERE pos < 128 GROUP BY doc_id
+    UNION ALL SELECT doc_id, array_to_string(list_resize([]::BIGINT[], 128, 0::BIGINT), ' ') FROM documents
+    WHERE doc_id NOT IN (SELECT doc_id FROM doc_tokens)"""))
 def encode_tokens(spark, sf_dir):
     words = tokens(spark, sf_dir)
-    encoded = ranking.encode_tokens(words, ranking.vocabulary(words), 128)
+    encoded = ranking.encode_tokens(words, ranking.vocabulary(words), 128, b.table(spark, sf_dir, "documents"))
     return encoded.select("doc_id", F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"))
 
 

@@ -159,7 +159,8 @@ def test_chunks_and_vocabulary(spark):
     words = spark.createDataFrame([(0, 0, "b"), (0, 1, "a"), (1, 0, "a"), (3, 0, "b"), (3, 1, "c")], "doc_id bigint, pos int, token string")
     vocab = ranking.vocabulary(words)
     assert rows(vocab, "token", "id") == [("<pad>", 0), ("<unk>", 1), ("a", 3), ("b", 2)]
-    assert rows(ranking.encode_tokens(words, vocab, 3), "doc_id", "ids") == [(0, [2, 3, 0]), (1, [3, 0, 0]), (3, [2, 1, 0])]
+    assert rows(ranking.encode_tokens(words, vocab, 3, spark.range(4).withColumnRenamed("id", "doc_id")), "doc_id", "ids") == [
+        (0, [2, 3, 0]), (1, [3, 0, 0]), (2, [0, 0, 0]), (3, [2, 1, 0])]
 
 
 def test_metrics_known_values(spark):
@@ -253,6 +254,28 @@ def test_profiles(spark):
     assert (len(got), got[1], got[2], got[50]) == (50, 1, 2, 1)
 
 
+def test_label_and_count(spark, folder):
+    data = [(i, None if i % 4 == 0 else "x", i % 3) for i in range(100)]
+    raw = spark.createDataFrame(data, "i int, text string, k int").repartition(7)
+    got = evaluation.label_and_count(raw, F.col("text").isNotNull(), F.nullif(F.col("k"), F.lit(0)) > 0, folder).first()
+    assert (got.rows_input, got.rows_after_preprocess, got.rows_labeled, got.rows_dropped, got.rows_failed) == (100, 75, 50, 25, 25)
+    assert spark.read.parquet(folder).count() == 50 and spark.read.parquet(folder).columns == raw.columns
+    none = evaluation.label_and_count(raw.limit(0), F.lit(True), F.lit(True), f"{folder}/none").first()
+    assert (none.rows_input, none.success_pct) == (0, 0.0)
+
+
+def test_stored_follows_the_tables(spark, folder):
+    """What is stored is built once, and again when a table's files change."""
+    from reviewloom.plans.stored import stored
+
+    built = []
+    for k in range(4):
+        if k != 1:
+            spark.range(k + 1).write.mode("append").parquet(f"{folder}/t.parquet")
+        stored(spark, folder, "x", ["t"], built.append)
+    assert len(built) == 3
+
+
 def test_guards(spark):
     df = spark.range(1)
     assert list(flatten.with_required_columns({"a": df, "b": df.withColumn("x", F.lit(1))}, {"x"})) == ["b"]
