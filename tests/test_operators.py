@@ -254,6 +254,21 @@ def test_profiles(spark):
     assert (len(got), got[1], got[2], got[50]) == (50, 1, 2, 1)
 
 
+@pytest.mark.parametrize("limit,blocks", [(2_000_000, None), (2_000_000, 1), (0, None)])
+def test_main_is_filtered_before_its_shuffle(spark, monkeypatch, limit, blocks):
+    """Exact whether the filter is large, far too small or left out; a large one lets few others pass."""
+    monkeypatch.setattr(merge, "FILTER_BLOCKS", limit)
+    main = spark.range(30_000).select(F.sha2(F.col("id").cast("string"), 256).alias("_key"), "id")
+    wanted = spark.range(29_000, 31_000).select(F.sha2(F.col("id").cast("string"), 256).alias("_key"))
+    passed = merge.possible_matches(main, wanted, blocks=blocks)
+    ids = {r.id for r in passed.collect()}
+    assert set(range(29_000, 30_000)) <= ids and (len(ids) < 1400 if limit and not blocks else len(ids) > 20_000)
+    old = spark.createDataFrame([(i % 7, f"c{i}", "f") for i in range(500)], "product_id long, content string, source_file string")
+    day = spark.createDataFrame([(i % 7, f"c{i}", f) for i in range(490, 600) for f in "ab"] + [(None, "c1", "a"), (1, None, "a")], old.schema)
+    assert rows(merge.new_reviews(day, old).na.fill("-").na.fill(-1), *old.columns) == sorted(
+        [(i % 7, f"c{i}", "a") for i in range(500, 600)] + [(-1, "c1", "a"), (1, "-", "a")])
+
+
 def test_label_and_count(spark, folder):
     data = [(i, None if i % 4 == 0 else "x", i % 3) for i in range(100)]
     raw = spark.createDataFrame(data, "i int, text string, k int").repartition(7)
