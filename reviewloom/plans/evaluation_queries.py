@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..constants import ASPECTS
 from ..functions import text
-from ..operators import evaluation as ev, profiling
+from ..operators import evaluation as ev, profiling, sketches
 from ..session import shared_dir
 from . import bindings as b
 from .registry import query
@@ -150,6 +150,14 @@ def serving_metrics(spark, sf_dir):
     return rounded(ev.serving_metrics(log, "1 hour"), ["rate", "mean_latency", "p95_latency", "error_pct"])
 
 
+@query("serving_metrics_by_month")
+def serving_metrics_by_month(spark, sf_dir):
+    """From daily sketches: users and percentiles are estimates, whose errors are tested."""
+    path = shared_dir(spark, "sketches")
+    sketches.store_days(b.interactions(spark, sf_dir).withColumn("latency_ms", F.col("latency_ms").cast("double")), path)
+    return rounded(sketches.merge_days(spark, path), ["mean_latency", "error_pct"])
+
+
 @query("eval_score_means", """
     SELECT round(avg(quality), 6) AS quality, round(avg(toxic), 6) AS toxic, count(*) AS n_samples FROM labels""")
 def eval_score_means(spark, sf_dir):

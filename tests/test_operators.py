@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from reviewloom.constants import ASPECTS
 from reviewloom.functions import labels
 from reviewloom.operators import (
-    conversations, documents, evaluation, flatten, layout, learning, merge, profiling, ranking, scores, search,
+    conversations, documents, evaluation, flatten, layout, learning, merge, profiling, ranking, scores, search, sketches,
 )
 
 LABEL = "array<struct<aspect:string,sentiment:string>>"
@@ -291,6 +291,32 @@ def test_stored_follows_the_tables(spark, folder):
     assert len(built) == 3
 
 
+def test_daily_sketches(spark, folder):
+    """Merged days against exact figures; a day's size does not follow its rows; a day done again changes nothing."""
+    rng = np.random.default_rng(7)
+    n = 60_000
+    data = [(int(d), int(u), float(x), bool(f)) for d, u, x, f in zip(
+        np.minimum(rng.geometric(0.1, n), 59), rng.integers(0, 9000, n), rng.lognormal(3, 1, n), rng.random(n) < 0.02)]
+    log = spark.createDataFrame(data + [(5, None, None, False), (200, 1, None, True)], "d int, user_id bigint, latency_ms double, failed boolean").select(
+        F.expr("timestamp '2024-01-01 12:00:00' + make_interval(0, 0, 0, d)").alias("ts"), "user_id", "latency_ms", "failed")
+    sketches.store_days(log.repartition(9), folder)
+    sketches.store_days(log.filter("day(ts) = 7"), folder)
+    got = {str(r.span): r for r in sketches.merge_days(spark, folder, "year").collect()}["2024-01-01"]
+    assert (got.requests, got.days) == (n + 2, len({d for d, *_ in data}) + 1)
+    assert got.error_pct == pytest.approx(100 * (1 + sum(f for *_, f in data)) / (n + 2))
+    assert got.users == pytest.approx(len({u for _, u, *_ in data}), rel=0.05)
+    latency = np.sort([x for _, _, x, _ in data])
+    assert got.mean_latency == pytest.approx(latency.mean())
+    for share in sketches.SHARES:
+        assert abs(np.searchsorted(latency, got[f"p{round(100 * share)}_latency"]) / n - share) < 0.02
+    sizes = spark.read.schema(sketches.DAY).parquet(folder).selectExpr("max(length(users) + length(latencies)) AS s").first().s
+    assert sizes < 16_000
+    july = [r for r in sketches.merge_days(spark, folder).collect() if str(r.span) == "2024-07-01"]
+    assert len(july) == 1 and july[0].p95_latency is None and july[0].mean_latency is None and july[0].users == 1
+    sketches.store_days(log.limit(0), f"{folder}/none")
+    assert sketches.merge_days(spark, f"{folder}/none").count() == 0
+
+
 def test_guards(spark):
     df = spark.range(1)
     assert list(flatten.with_required_columns({"a": df, "b": df.withColumn("x", F.lit(1))}, {"x"})) == ["b"]
