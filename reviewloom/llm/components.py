@@ -11,17 +11,23 @@ def _doubled(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """(a, m): the smallest neighbour of each node, dealt out anew: a join with a table that comes from a shuffle of its
+    own is one whose hot nodes adaptive execution splits."""
+    return edges.groupBy("a").agg(F.min("b").alias("m")).repartition("a")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the node's smallest neighbour (or the node)."""
     both = _doubled(edges)
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = _least(both).select("a", F.least("a", "m").alias("m"))
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Of edges from a larger to a smaller node: every smaller neighbour of a node, and the node, move to the
     smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = _least(edges)
     moved = edges.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
