@@ -213,6 +213,17 @@ def kb_replace_stored(spark, path: str, delta: DataFrame, buckets: int = 64) ->
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
 
+def kb_replaced(spark, base: str, path: str, delta: DataFrame, buckets: int = 64) -> DataFrame:
+    """``kb_replace`` beside a stored knowledge base: the buckets of affected products are written to ``path``, all
+    others are read where they are. The base stays as it is for its readers."""
+    bucket = F.pmod(F.xxhash64("product_id"), F.lit(buckets)).cast("int")
+    delta = delta.withColumn("bucket", bucket)
+    touched = F.broadcast(delta.select("bucket").distinct())  # at most ``buckets`` rows
+    kb = spark.read.parquet(base)
+    kb_replace(kb.join(touched, "bucket", "left_semi"), delta).write.partitionBy("bucket").parquet(path)
+    return kb.join(touched, "bucket", "left_anti").unionByName(spark.read.schema(kb.schema).parquet(path))
+
+
 def kb_rebuild(documents: DataFrame, path: str, buckets: int = 64) -> None:
     """Writes the whole knowledge base anew. The documents are made once, into a
     staged table; an empty one, repeated ids, or a copy that ends up with

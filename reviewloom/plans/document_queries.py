@@ -196,11 +196,9 @@ def unique_id_check(spark, sf_dir):
     SELECT id, doc_type, product_id, content FROM base_docs WHERE product_id NOT IN (SELECT product_id FROM delta_docs)
     UNION ALL SELECT * FROM delta_docs"""))
 def kb_replace_products(spark, sf_dir):
-    """The stored base is copied, as other queries read it, and its touched buckets are written anew."""
-    path = shared_dir(spark, "kb-updated")
-    spark.read.parquet(stored_kb(spark, sf_dir)).write.partitionBy("bucket").parquet(path)
-    merge.kb_replace_stored(spark, path, materialize(flat(delta_documents(spark, sf_dir)), "delta-documents"))
-    return spark.read.parquet(path).drop("bucket")
+    """The touched buckets of the stored base are written anew beside it, as other queries read it."""
+    delta = materialize(flat(delta_documents(spark, sf_dir)), "delta-documents")
+    return merge.kb_replaced(spark, stored_kb(spark, sf_dir), shared_dir(spark, "kb-updated"), delta).drop("bucket")
 
 
 def stored_kb(spark, sf_dir) -> str:

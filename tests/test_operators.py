@@ -226,6 +226,17 @@ def test_kb_rebuild_checks(spark, folder):
             merge.kb_rebuild(wrong, folder)
 
 
+def test_kb_replaced_beside_its_base(spark, folder):
+    docs = spark.createDataFrame([(f"d{i}", i % 40) for i in range(200)], "id string, product_id long")
+    merge.kb_rebuild(docs, f"{folder}/base")
+    delta = spark.createDataFrame([("new3", 3), ("new7", 7), ("fresh", 99)], docs.schema)
+    want = rows(merge.kb_replace(docs, delta), "id", "product_id")
+    assert rows(merge.kb_replaced(spark, f"{folder}/base", f"{folder}/new", delta), "id", "product_id") == want
+    assert rows(spark.read.parquet(f"{folder}/base"), "id") == rows(docs, "id")
+    merge.kb_replace_stored(spark, f"{folder}/base", delta)  # in place, for a base without other readers
+    assert rows(spark.read.parquet(f"{folder}/base"), "id", "product_id") == want
+
+
 def test_boost_counts_null_as_zero(spark):
     df = spark.createDataFrame([(None,), (0.5,)], "absa_price_score double")
     assert [r[0] for r in df.select(search.aspect_boost(["price", "nothing"])).collect()] == [0.0, 0.25]
