@@ -64,8 +64,17 @@ def reviews(spark, sf_dir) -> DataFrame:
 
 def with_content(heads, spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    heads = heads.withColumn("doc_id", F.col("review_id") % rows_in(docs))
-    return heads.join(docs.select("doc_id", F.col("text").alias("content")), "doc_id").drop("doc_id")
+    return _with_doc_id(heads, docs).join(docs.select("doc_id", F.col("text").alias("content")), "doc_id").drop("doc_id")
+
+
+def _with_doc_id(heads, docs) -> DataFrame:
+    return heads.withColumn("doc_id", F.col("review_id") % rows_in(docs))
+
+
+def spoken_heads(spark, sf_dir) -> DataFrame:
+    """The reviews that ``with_content`` finds a text for, still without it."""
+    docs = table(spark, sf_dir, "documents")
+    return _with_doc_id(review_heads(spark, sf_dir), docs).join(docs.select("doc_id"), "doc_id", "left_semi").drop("doc_id")
 
 
 def review_labels(spark, sf_dir) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..constants import ASPECTS, CHUNK_SIZE, FINAL_COLUMNS, WS
 from ..functions import text
 from ..operators import conversations, evaluation, flatten, layout, merge, ranking
-from ..session import materialize, shared_dir
+from ..session import STORED, materialize, shared_dir
 from . import bindings as b
 from .document_queries import details
 from .project_queries import BASE_URL, raw_review_pages
@@ -151,9 +151,10 @@ def has_review_semi(spark, sf_dir):
 @query("concat_chunks", b.sql(["reviews"], """
     SELECT product_id, customer_name, rating, content, created_at FROM reviews"""))
 def concat_chunks(spark, sf_dir):
-    chunks = ranking.chunk_assignment(b.reviews(spark, sf_dir), "review_id", "reviews")
+    # Short rows are numbered, their texts are not shuffled for it.
+    heads = ranking.chunk_assignment(b.spoken_heads(spark, sf_dir), "review_id", "reviews")
     path = shared_dir(spark, "chunks")
-    chunks.write.parquet(path)
+    b.with_content(heads, spark, sf_dir).write.options(**STORED).parquet(path)
     return flatten.final_projection(spark.read.parquet(path), FINAL_COLUMNS)
 
 
