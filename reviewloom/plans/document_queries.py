@@ -128,13 +128,13 @@ def adaptive_k(spark, sf_dir):
 
 @query("top_reviews", b.sql(["top_reviews"], "SELECT product_id, position, review_id, rating, overall FROM top_reviews"))
 def top_reviews(spark, sf_dir):
-    return d.top_reviews(b.labeled_reviews(spark, sf_dir)).drop("content")
+    return d.top_reviews(b.labeled_reviews(spark, sf_dir), 0).drop("content")
 
 
 @query("review_doc_index", b.sql(["top_reviews"], """
     SELECT review_id, 'prod_' || product_id || '_review_' || position AS id FROM top_reviews"""))
 def review_doc_index(spark, sf_dir):
-    return d.top_reviews(b.labeled_reviews(spark, sf_dir)).select(
+    return d.top_reviews(b.labeled_reviews(spark, sf_dir), 0).select(
         "review_id", F.concat(F.lit("prod_"), "product_id", F.lit("_review_"), "position").alias("id"))
 
 
@@ -156,7 +156,7 @@ def doc_aspect_summary(spark, sf_dir):
 @query("doc_reviews", b.sql(["review_docs"], """
     SELECT id, doc_type, product_id, content, review_rating::BIGINT AS review_rating, review_overall FROM review_docs"""))
 def doc_reviews(spark, sf_dir):
-    picked = d.top_reviews(b.labeled_reviews(spark, sf_dir))
+    picked = d.top_reviews(b.labeled_reviews(spark, sf_dir), d.REVIEW_CHARS)
     return flat(d.review_documents(details(spark, sf_dir), picked), "review_rating", "review_overall")
 
 
