@@ -28,7 +28,7 @@ def state(spark: SparkSession, folder: str, name: str, variable: str) -> DataFra
 
 # --- sessions of a user ------------------------------------------------------------------
 class Sessions(StatefulProcessor):
-    """Open sessions of a user as a list; a timer at the end of each one closes it.
+    """Open sessions of a user as a list; one timer, at the end of the first of them, closes what has ended by then.
 
     An event opens a session or joins the one it touches, whatever order events come in, and one that lies between
     two sessions makes them one. Events older than the watermark are dropped by the engine.
@@ -41,6 +41,14 @@ class Sessions(StatefulProcessor):
         self.handle = handle
         self.open = handle.getListState("open", "start bigint, end bigint, events bigint")
 
+    @staticmethod
+    def _due(session: tuple) -> int:
+        """The first millisecond at which a session has ended."""
+        return -(-session[1] // 1000)
+
+    def _next(self, sessions: list[tuple]) -> int | None:
+        return min(map(self._due, sessions), default=None)
+
     def _keep(self, sessions: list[tuple]) -> None:
         if sessions:
             self.open.put(sessions)
@@ -49,8 +57,7 @@ class Sessions(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         sessions = [tuple(x) for x in self.open.get()] if self.open.exists() else []
-        due = lambda s: -(-s[1] // 1000)
-        before, passed = {due(s) for s in sessions}, timerValues.getCurrentWatermarkInMs()
+        before, passed = self._next(sessions), timerValues.getCurrentWatermarkInMs()
         for part in rows:
             new = [(int(t), int(t) + self.gap, 1) for t in part["at"]]
             merged: list[tuple] = []
@@ -60,19 +67,24 @@ class Sessions(StatefulProcessor):
                 else:
                     merged.append((start, end, n))
             sessions = merged
-        sessions = [s for s in sessions if due(s) > passed]
-        ends = {due(s) for s in sessions}
-        for gone in before - ends:
-            self.handle.deleteTimer(gone)
-        for end in ends - before:
-            self.handle.registerTimer(end)
+        sessions = [s for s in sessions if self._due(s) > passed]
+        first = self._next(sessions)
+        if first != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            if first is not None:
+                self.handle.registerTimer(first)
         self._keep(sessions)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         sessions = [tuple(x) for x in self.open.get()] if self.open.exists() else []
-        done = [s for s in sessions if s[1] <= 1000 * expiredTimerInfo.getExpiryTimeInMs()]
-        self._keep([s for s in sessions if s not in done])
+        # The timer was set for the first end; by now the watermark may have passed others.
+        passed = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        done, left = [s for s in sessions if self._due(s) <= passed], [s for s in sessions if self._due(s) > passed]
+        self._keep(left)
+        if left:
+            self.handle.registerTimer(self._next(left))
         if done:
             yield pd.DataFrame([(key[0], *s) for s in done], columns=["user_id", "start", "end", "events"])
 

@@ -3,13 +3,17 @@
 import random
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from reviewloom import constants
+from reviewloom.functions import text
 from reviewloom.operators import documents, merge, ranking, scores
 from reviewloom.plans import bindings, merge_queries, project_queries
 from reviewloom.session import materialize
 from reviewloom.sources import files
+from reviewloom.streaming import keyed
 
 LABEL = "array<struct<aspect:string,sentiment:string>>"
 CHARS, REVIEWS = 5000, 200
@@ -109,3 +113,66 @@ def test_texts_are_stored_compressed(spark, reviews, folder):
     base, kb = folder + "/kb", reviews.select(F.col("review_id").cast("string").alias("id"), "product_id", "content")
     merge.kb_rebuild(kb, base)
     assert all(".zstd." in Path(p).name for p in spark.read.parquet(base).inputFiles())
+
+
+def test_cleaning_walks_a_text_a_few_times(spark):
+    """The same as one replacement after another, in four passes of the matcher."""
+    def plain(c):
+        c = F.lower(F.coalesce(c, F.lit("")))
+        for short, full in constants.ABBREVIATIONS:
+            c = F.regexp_replace(c, f"(?:{short})(?![{constants.WORD}])(?<![{constants.WORD}](?:{short}))", full)
+        c = F.regexp_replace(text._loose_marks_to_blanks(c), f"(?![a-z0-9 ])[^{constants.VIETNAMESE_LETTERS}{constants.WS}]", "")
+        return F.trim(F.regexp_replace(c, f"[{constants.WS}]+", " "))
+
+    rnd = random.Random(7)
+    bits = [a for s, _ in constants.ABBREVIATIONS for a in s.split("|")] + [
+        " ", "  ", "\t", "\n", "\xa0", ".", "/", "1", "_", "x", "é", "đ", "́", "", "", "-", "SP"]
+    df = spark.createDataFrame([("".join(rnd.choices(bits, k=rnd.randrange(14))),) for _ in range(5000)] + [(None,)], "t string")
+    assert df.filter(~plain(F.col("t")).eqNullSafe(text.clean_review_text(F.col("t")))).isEmpty()
+    assert str(text.clean_review_text(F.col("t"))._jc.toString()).count("regexp_replace(") <= 4
+
+
+def test_a_user_has_one_timer(spark):
+    """However many sessions are open, the first end alone is set; what has ended by then comes out at once."""
+    minute = 60_000_000
+
+    class Handle:
+        kept, timers, calls = [], set(), 0
+
+        def getListState(self, *_):
+            return self
+
+        def exists(self):
+            return bool(self.kept)
+
+        def get(self):
+            return iter(self.kept)
+
+        def put(self, rows):
+            self.kept = list(rows)
+
+        def clear(self):
+            self.kept = []
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+            self.calls += 1
+
+        def deleteTimer(self, at):
+            self.timers.discard(at)
+
+    class Times:
+        def __init__(self, now):
+            self.now = now
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+        getExpiryTimeInMs = getCurrentWatermarkInMs
+
+    handle, sessions = Handle(), keyed.Sessions(30 * minute)
+    sessions.init(handle)
+    list(sessions.handleInputRows((1,), iter([pd.DataFrame({"at": [i * 60 * minute for i in range(100)]})]), Times(0)))
+    assert len(handle.kept) == 100 and handle.timers == {30 * 60_000} and handle.calls == 1
+    out = list(sessions.handleExpiredTimer((1,), Times(50 * 3_600_000), Times(30 * 60_000)))
+    assert len(out) == 1 and len(out[0]) == 50 and len(handle.kept) == 50 and handle.calls == 2
