@@ -16,9 +16,14 @@ from ..constants import (
 )
 
 
+#: White space without the blank.
+_NOT_BLANK = WS.replace(r"\x1c-\x20", r"\x1c-\x1f")
+
+
 def collapse(c: Column) -> Column:
     """White space runs to one blank, ends trimmed."""
-    return F.trim(F.regexp_replace(c, f"[{WS}]+", " "))
+    # A single blank stays as it is, which is most of the white space; printable ASCII fails at once.
+    return F.trim(F.regexp_replace(c, f"(?![!-~])(?:[{_NOT_BLANK}][{WS}]*+| [{WS}]++)", " "))
 
 
 def strip(c: Column) -> Column:
@@ -36,16 +41,30 @@ def _loose_marks_to_blanks(c: Column) -> Column:
 
 
 def _keep_letters(c: Column, ascii_kept: str) -> Column:
-    """Drops all but ``ascii_kept``, Vietnamese letters and white space. The
-    lookahead lets plain letters pass without testing the long class."""
-    return F.regexp_replace(c, f"(?![{ascii_kept}])[^{VIETNAMESE_LETTERS}{WS}]", "")
+    """Drops all but ``ascii_kept``, Vietnamese letters and white space. Runs of
+    plain characters are taken at once, without testing the long class."""
+    return F.regexp_replace(c, f"(?s)([{ascii_kept}]++)|(?![{VIETNAMESE_LETTERS}{WS}]).", "$1")
+
+
+#: Around a word that stands for another; no letter, so it never joins words, and no cleaned text keeps it.
+_MARKS = "\ue000", "\ue001"
+
+
+def _spelt_out(c: Column) -> Column:
+    """Abbreviations that are whole words, replaced: all are marked in one pass, as no replacement holds one, and
+    the marked ones are plain strings. A mark may be left where the text has some itself."""
+    full = {short: long for shorts, long in ABBREVIATIONS for short in shorts.split("|")}
+    firsts, any_of = "".join(sorted({short[0] for short in full})), "|".join(full)
+    left, right = _MARKS
+    # The first character fails most positions.
+    text = F.regexp_replace(c, f"(?=[{firsts}])(?<![{WORD}])({any_of})(?![{WORD}])", f"{left}$1{right}")
+    for short, long in full.items():
+        text = F.replace(text, F.lit(left + short + right), F.lit(long))
+    return text
 
 
 def clean_review_text(c: Column) -> Column:
-    text = F.lower(F.coalesce(c, F.lit("")))
-    for short, full in ABBREVIATIONS:
-        # The literal comes first: most positions fail on one character.
-        text = F.regexp_replace(text, f"(?:{short})(?![{WORD}])(?<![{WORD}](?:{short}))", full)
+    text = _spelt_out(F.lower(F.coalesce(c, F.lit(""))))
     return collapse(_keep_letters(_loose_marks_to_blanks(text), "a-z0-9 "))
 
 
