@@ -182,11 +182,16 @@ class Counts(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         known = self.known.get()[0] if self.known.exists() else -1
-        scans = pd.concat(rows).sort_values("scan")
-        before = scans["review_count"].shift(fill_value=known)
-        self.known.update((int(scans["review_count"].iloc[-1]),))
-        changed = scans.assign(previous_count=before)[before != scans["review_count"]]
-        yield changed.rename(columns={"review_count": "current_count"})[["product_id", "scan", "previous_count", "current_count"]]
+        # Most products have a few scans: plain lists, as every pandas step costs more than that.
+        scans = sorted((x for part in rows for x in zip(part["scan"].tolist(), part["review_count"].tolist())), key=lambda x: x[0])
+        changed = []
+        for scan, count in scans:
+            if count != known:
+                changed.append((key[0], scan, known, count))
+            known = count
+        self.known.update((int(known),))
+        if changed:
+            yield pd.DataFrame(changed, columns=["product_id", "scan", "previous_count", "current_count"])
 
     def close(self) -> None:
         pass

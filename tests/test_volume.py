@@ -13,7 +13,7 @@ from reviewloom.operators import documents, merge, ranking, scores
 from reviewloom.plans import bindings, merge_queries, project_queries
 from reviewloom.session import materialize
 from reviewloom.sources import files
-from reviewloom.streaming import keyed
+from reviewloom.streaming import keyed, knowledge_base
 
 LABEL = "array<struct<aspect:string,sentiment:string>>"
 CHARS, REVIEWS = 5000, 200
@@ -176,3 +176,48 @@ def test_a_user_has_one_timer(spark):
     assert len(handle.kept) == 100 and handle.timers == {30 * 60_000} and handle.calls == 1
     out = list(sessions.handleExpiredTimer((1,), Times(50 * 3_600_000), Times(30 * 60_000)))
     assert len(out) == 1 and len(out[0]) == 50 and len(handle.kept) == 50 and handle.calls == 2
+
+
+class _Values:
+    """State variables of one key, in memory."""
+
+    def __init__(self):
+        self.value, self.rows = None, []
+
+    def getValueState(self, *_):
+        return self
+
+    def getListState(self, *_):
+        return _Values()
+
+    def exists(self):
+        return self.value is not None or bool(self.rows)
+
+    def get(self):
+        return self.value if self.value is not None else iter(self.rows)
+
+    def update(self, value):
+        self.value = value
+
+    def put(self, rows):
+        self.rows = list(rows)
+
+
+def test_a_product_is_one_frame():
+    """What a product puts out comes in one frame, and a scan without a change in none."""
+    job, rows = knowledge_base.ProductReviews(), []
+    job.init(_Values())
+    for i, (overall, content, rating) in enumerate([("positive", "long one", 5.0), ("negative", "x", None), ("neutral", None, 3.0)]):
+        rows.append((7, i, rating, overall, content, "f.csv", *[1] * len(knowledge_base.FIGURES)))
+    part = pd.DataFrame(rows, columns=[c.split()[0] for c in knowledge_base.NEW.split(", ")])
+    (out,) = job.handleInputRows((7,), iter([part]), None)
+    assert list(zip(out["kind"], out["rank"], out["review_id"], out["rating"])) == [
+        ("new", None, 0, 5), ("new", None, 1, None), ("new", None, 2, 3), ("figures", None, None, None),
+        ("review", 1, 0, 5), ("review", 1, 1, None)]
+    assert list(out["n_reviews"]) == [1, 1, 1, 3, None, None]
+    counts = keyed.Counts()
+    counts.init(_Values())
+    scans = lambda *x: iter([pd.DataFrame(x, columns=["product_id", "scan", "review_count"])])
+    (found,) = counts.handleInputRows((7,), scans((7, 2, 5), (7, 1, 5), (7, 3, 6)), None)
+    assert found.values.tolist() == [[7, 1, -1, 5], [7, 3, 5, 6]]
+    assert list(counts.handleInputRows((7,), scans((7, 4, 6)), None)) == []
