@@ -1,5 +1,6 @@
 """What is moved and written: texts are cut before they are shuffled, and stored compressed."""
 
+import collections
 import random
 from pathlib import Path
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewloom import constants
 from reviewloom.functions import text
-from reviewloom.operators import documents, merge, ranking, scores
+from reviewloom.operators import documents, learning, lexical_index, merge, ranking, scores
 from reviewloom.plans import bindings, merge_queries, project_queries
 from reviewloom.session import materialize
 from reviewloom.sources import files
@@ -221,3 +222,22 @@ def test_a_product_is_one_frame():
     (found,) = counts.handleInputRows((7,), scans((7, 2, 5), (7, 1, 5), (7, 3, 6)), None)
     assert found.values.tolist() == [[7, 1, -1, 5], [7, 3, 5, 6]]
     assert list(counts.handleInputRows((7,), scans((7, 4, 6)), None)) == []
+
+
+def test_rare_terms_are_not_shuffled(spark):
+    """A few words fill the vocabulary; the many words and pairs of one document each stay where they are."""
+    rnd = random.Random(5)
+    texts = [" ".join([*rnd.choices(["alpha", "beta", "gamma"], k=40), *(f"rare{i}x{j}" for j in range(200))]) for i in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string").localCheckpoint()
+    assert shuffled(learning.tfidf_features(docs, 5)) < 100 * 200 * 8
+
+
+@pytest.mark.parametrize("classes", [1, 7, 1 << 20])
+def test_frequent_terms_are_exact(spark, classes):
+    """Also where rare terms share their class with frequent ones, and counts are equal at the cut."""
+    words = [w for i in range(60) for w in [f"w{i:02}"] * (1 + i // 4)]
+    listed = spark.createDataFrame([(w,) for w in words], "term string")
+    want = sorted(collections.Counter(words).items(), key=lambda x: (-x[1], x[0]))
+    for k in (2, 9, 100):
+        got = sorted((r.place, r.term, r.total) for r in learning.frequent_terms(listed, k, classes).collect())
+        assert got == [(i + 1, *x) for i, x in enumerate(want[:k])]
