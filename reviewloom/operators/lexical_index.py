@@ -1,52 +1,63 @@
 """BM25 over a stored postings table in blocks that know their largest weight.
 
 Documents are dealt to blocks of about ``BLOCK_DOCUMENTS`` by a hash of their id. A row of the table holds the
-documents of one block that have one term, with the term's weight in each, and the largest of these weights. The
-sum of the largest weights of a query's terms bounds the score of every document of a block, so that blocks which
+documents of one block that have one term, with its count in each and their lengths, which tell its weight, and the
+largest of these weights. The sum of the largest weights of a query's terms bounds the score of every document of a block, so that blocks which
 cannot reach the k-th best score are never opened.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import terms
-from ..session import materialize
+from ..session import STORED, materialize
 from .layout import top_per_key
 
 BLOCK_DOCUMENTS = 1024
+#: Blocks whose postings one task makes, on average.
+TASK_BLOCKS = 4
+#: Blocks of one file.
+FILE_BLOCKS = 64
 #: Postings of one folder of terms.
 PART_POSTINGS = 20_000_000
 #: Rows of terms and blocks that go to every task; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 DIGITS = 12
 TERMS = "term string, df long, part int"
-BLOCKS = "term string, block long, most double, documents array<struct<id: long, weight: double>>, part int"
+BLOCKS = "term string, block long, most double, df long, documents array<struct<id: long, tf: int, length: int>>, part int"
 
 
-def build(docs: DataFrame, path: str, k1: float = 1.2, b: float = 0.75) -> str:
-    """Stores the postings of ``docs`` (id, text). Every text is tokenised once; term counts, document frequencies
-    and weights are aggregated from there. Documents without terms count in the mean length only.
+def _weight(tf: Column, length: Column, mean: float, k1: float, b: float) -> Column:
+    """tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean length))."""
+    return tf * F.lit(k1 + 1) / (tf + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * length / F.lit(mean)))
+
 
-    weight = tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean length)).
+def build(docs: DataFrame, path: str, k1: float = 1.2, b: float = 0.75) -> str:
+    """Stores the postings of ``docs`` (id, text). The texts themselves are dealt to the tasks by block, so that
+    postings are counted and gathered where they arise and only whole rows of the table are shuffled, once; document
+    frequencies are sums over the blocks. Documents without terms count in the mean length only.
     """
     spark = docs.sparkSession
-    listed = docs.select("id", terms(F.col("text")).alias("terms")).select(
-        "id", F.size("terms").alias("length"), F.explode_outer("terms").alias("term")).filter("term IS NOT NULL")
-    found = materialize(listed.groupBy("id", "length", "term").agg(F.count("*").alias("tf")), "postings")
-    n, total = docs.count(), found.agg(F.sum("tf"), F.count("*")).first()
-    mean, blocks = (total[0] or 0) / max(1, n), max(1, -(-n // BLOCK_DOCUMENTS))
-    parts = max(1, -(-total[1] // PART_POSTINGS))
+    told = terms(F.col("text"))
+    n, total = docs.agg(F.count("*"), F.coalesce(F.sum(F.size(told)), F.lit(0))).first()
+    mean, blocks, parts = total / max(1, n), max(1, -(-n // BLOCK_DOCUMENTS)), max(1, -(-total // PART_POSTINGS))
+    spark.createDataFrame([(n, blocks, parts, mean, k1, b)], "n long, blocks long, parts int, mean double, k1 double, b double").write.parquet(
+        f"{path}/figures")
+
+    tasks = max(spark.sparkContext.defaultParallelism, -(-blocks // TASK_BLOCKS))
+    dealt = docs.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), "id", "text").repartition(tasks, "block")
+    listed = dealt.select("block", "id", told.alias("terms")).select(
+        "block", "id", F.size("terms").alias("length"), F.explode("terms").alias("term"))
+    found = listed.groupBy("block", "id", "length", "term").agg(F.count("*").cast("int").alias("tf"))
+    rows = found.groupBy("block", "term").agg(
+        F.max(_weight(F.col("tf"), F.col("length"), mean, k1, b)).alias("most"), F.count("*").alias("df"),
+        F.collect_list(F.struct(F.col("id").cast("long").alias("id"), "tf", "length")).alias("documents"))
     part = F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int")
-    spark.createDataFrame([(n, blocks, parts)], "n long, blocks long, parts int").write.parquet(f"{path}/figures")
-    found.groupBy("term").agg(F.count("*").alias("df")).withColumn("part", part).write.partitionBy("part").parquet(f"{path}/terms")
-
-    weight = F.col("tf") * F.lit(k1 + 1) / (F.col("tf") + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("length") / F.lit(mean)))
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    rows = found.select("term", block.alias("block"), "id", weight.alias("weight")).groupBy("term", "block").agg(
-        F.max("weight").alias("most"), F.collect_list(F.struct(F.col("id").cast("long").alias("id"), "weight")).alias("documents")).withColumn("part", part)
-    rows.repartition("part", F.floor(F.col("block") / 64)).sortWithinPartitions("term", "block").write.partitionBy("part").parquet(
-        f"{path}/blocks")
+    rows.withColumn("part", part).repartition("part", F.floor(F.col("block") / FILE_BLOCKS)).sortWithinPartitions(
+        "term", "block").write.options(**STORED).partitionBy("part").parquet(f"{path}/blocks")
+    counts = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").groupBy("part", "term").agg(F.sum("df").alias("df"))
+    counts.write.options(**STORED).partitionBy("part").parquet(f"{path}/terms")
     return path
 
 
@@ -77,7 +88,9 @@ def block_scores(spark: SparkSession, path: str, asked: DataFrame, opened: DataF
     wanted = materialize(opened.select("query_id", "block").join(asked, "query_id"), "opened")
     rows = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").select("part", "term", "block", "documents").join(_small(wanted), ["part", "term", "block"])
     each = rows.select("query_id", "factor", F.explode("documents").alias("d"))
-    scores = each.groupBy("query_id", "d.id").agg(F.round(F.sum(F.col("d.weight") * F.col("factor")), DIGITS).alias("score"))
+    figures = spark.read.parquet(f"{path}/figures").first()
+    weight = _weight(F.col("d.tf"), F.col("d.length"), figures.mean, figures.k1, figures.b)
+    scores = each.groupBy("query_id", "d.id").agg(F.round(F.sum(weight * F.col("factor")), DIGITS).alias("score"))
     return top_per_key(scores, ["query_id"], [F.desc("score"), F.asc("id")], k).drop("rank")
 
 

@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from reviewloom import constants
 from reviewloom.functions import text
@@ -241,3 +241,16 @@ def test_frequent_terms_are_exact(spark, classes):
     for k in (2, 9, 100):
         got = sorted((r.place, r.term, r.total) for r in learning.frequent_terms(listed, k, classes).collect())
         assert got == [(i + 1, *x) for i, x in enumerate(want[:k])]
+
+
+def test_postings_are_shuffled_once(spark, folder, monkeypatch):
+    """A text comes to the task of its block; what is stored of a posting is its document, count and length."""
+    rnd = random.Random(7)
+    docs = spark.createDataFrame([(i, " ".join(rnd.choices([f"word{j}" for j in range(900)], k=300))) for i in range(600)], "id bigint, text string")
+    monkeypatch.setattr(lexical_index, "BLOCK_DOCUMENTS", 100)
+    written, whole = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (written.append(path), whole(self, path, *a, **k))[1])
+    lexical_index.build(docs.localCheckpoint(), folder)
+    monkeypatch.undo()
+    assert sorted(p.rsplit("/", 1)[1] for p in written) == ["blocks", "figures", "terms"]
+    assert size_of(f"{folder}/blocks") < 8 * spark.read.parquet(f"{folder}/blocks").agg(F.sum(F.size("documents"))).first()[0]
