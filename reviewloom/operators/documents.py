@@ -129,6 +129,25 @@ def top_reviews(reviews: DataFrame, chars: int | None = None) -> DataFrame:
     return shown_reviews(ranked, reviews.groupBy("product_id").agg(F.count("*").alias("n")))
 
 
+def top_reviews_by_text(reviews: DataFrame, texts: DataFrame, chars: int) -> DataFrame:
+    """``top_reviews`` of reviews that name their text by ``doc_id``; ``texts`` (doc_id, content).
+
+    Size and digest of a text are taken where it lies, and the first ``chars`` characters are attached to the reviews
+    that are shown, so that no text is copied for each of its reviews.
+    """
+    facts = texts.select("doc_id", F.length("content").alias("size"), text_digest("content").alias("digest"))
+    judged = reviews.select("product_id", "review_id", "rating", "doc_id", overall_sentiment(F.col("label")).alias("overall")).filter(
+        "overall <> 'neutral'").join(facts, "doc_id").withColumn("content", F.struct("doc_id", "digest")).drop("doc_id")
+    ranked = top_per_key(judged, ["product_id", "overall"], [F.desc("size"), F.asc("review_id")], MAX_PER_POLARITY)
+    spoken = reviews.select("product_id", "doc_id").join(texts.select("doc_id"), "doc_id")
+    shown = shown_reviews(ranked, spoken.groupBy("product_id").agg(F.count("*").alias("n")))
+    # Ids may repeat: a text is the one of its id and digest; a NULL text has no digest.
+    said = texts.select(F.col("doc_id").alias("_id"), text_digest("content").alias("_digest"), F.substring("content", 1, chars).alias("said"))
+    found = (F.col("content.doc_id") == F.col("_id")) & F.col("content.digest").eqNullSafe(F.col("_digest"))
+    return shown.join(said.dropDuplicates(["_id", "_digest"]), found).select(
+        "product_id", "position", "review_id", "rating", "overall", F.col("said").alias("content"))
+
+
 def shown_reviews(ranked: DataFrame, counts: DataFrame) -> DataFrame:
     """Of the reviews ``ranked`` within product and polarity those that k lets through; ``counts`` (product_id, n).
     A ``digest`` tells which contents are equal; without one it is taken from the content."""
@@ -186,12 +205,13 @@ def document_union(*parts: DataFrame) -> DataFrame:
     return keep_first(both, ["id"], [rank, "content"])
 
 
-def build_documents(products: DataFrame, reviews: DataFrame, scores: DataFrame) -> DataFrame:
-    """Cards, summaries and picked reviews of all products."""
+def build_documents(products: DataFrame, reviews: DataFrame, scores: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """Cards, summaries and picked reviews of all products; where ``texts`` are given, reviews name theirs by ``doc_id``."""
     det = details(products, scores)
     slim = det.drop("short_description", "ai_review_summary")
     return concat_parts([
-        product_cards(det), aspect_summaries(slim), review_documents(slim, top_reviews(reviews, REVIEW_CHARS))])
+        product_cards(det), aspect_summaries(slim), review_documents(
+            slim, top_reviews(reviews, REVIEW_CHARS) if texts is None else top_reviews_by_text(reviews, texts, REVIEW_CHARS))])
 
 
 def build_delta_documents(products: DataFrame, reviews: DataFrame, scores: DataFrame, affected: DataFrame,

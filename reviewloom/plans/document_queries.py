@@ -102,7 +102,7 @@ def stored_scores(spark, sf_dir):
 
 def all_documents(spark, sf_dir):
     return d.build_documents(
-        b.described_products(spark, sf_dir), b.labeled_reviews(spark, sf_dir), stored_scores(spark, sf_dir))
+        b.described_products(spark, sf_dir), b.labeled_by_text(spark, sf_dir), stored_scores(spark, sf_dir), b.texts(spark, sf_dir))
 
 
 def delta_documents(spark, sf_dir):
@@ -156,7 +156,7 @@ def doc_aspect_summary(spark, sf_dir):
 @query("doc_reviews", b.sql(["review_docs"], """
     SELECT id, doc_type, product_id, content, review_rating::BIGINT AS review_rating, review_overall FROM review_docs"""))
 def doc_reviews(spark, sf_dir):
-    picked = d.top_reviews(b.labeled_reviews(spark, sf_dir), d.REVIEW_CHARS)
+    picked = d.top_reviews_by_text(b.labeled_by_text(spark, sf_dir), b.texts(spark, sf_dir), d.REVIEW_CHARS)
     return flat(d.review_documents(details(spark, sf_dir), picked), "review_rating", "review_overall")
 
 

@@ -254,3 +254,27 @@ def test_postings_are_shuffled_once(spark, folder, monkeypatch):
     monkeypatch.undo()
     assert sorted(p.rsplit("/", 1)[1] for p in written) == ["blocks", "figures", "terms"]
     assert size_of(f"{folder}/blocks") < 8 * spark.read.parquet(f"{folder}/blocks").agg(F.sum(F.size("documents"))).first()[0]
+
+
+def test_texts_meet_the_shown_reviews_alone(spark):
+    """Also where ids of texts repeat, with the same text or another, and where a text is NULL or missing."""
+    rnd = random.Random(11)
+    said = [(i, "".join(rnd.choices("abcdefgh ", k=CHARS + i))) for i in range(20)]
+    texts = spark.createDataFrame([*said, said[3], (4, "z" * 700), (5, None), (6, "")], "doc_id bigint, content string").localCheckpoint()
+    label = [[("price", "positive")], [("price", "negative")], [], [("price", "neutral")]]
+    named = spark.createDataFrame(
+        [(i, i % 7, 1 + i % 5, label[i % 11 % 4], i % 23) for i in range(REVIEWS)],
+        f"product_id bigint, review_id bigint, rating int, label {LABEL}, doc_id bigint").withColumns(
+        {"review_id": F.col("product_id"), "product_id": F.col("review_id")}).localCheckpoint()
+    late, early = documents.top_reviews_by_text(named, texts, 50), documents.top_reviews(named.join(texts, "doc_id"), 50)
+    of = lambda df: sorted((r.product_id, r.position, r.review_id, r.rating, r.overall, r.content or "") for r in df.collect())
+    assert of(late) == of(early) and late.count() > 30
+
+
+def test_base_documents_copy_no_text(spark):
+    """A text is shuffled at most once, cut, however many reviews it has."""
+    texts = spark.createDataFrame([(i, str(i) * CHARS) for i in range(4)], "doc_id bigint, content string").localCheckpoint()
+    named = spark.createDataFrame([(i, i, 5, [("price", "positive")], i % 4) for i in range(2000)],
+                                  f"product_id bigint, review_id bigint, rating int, label {LABEL}, doc_id bigint").localCheckpoint()
+    assert shuffled(documents.top_reviews_by_text(named, texts, 600)) < 2000 * 600 / 2 < shuffled(
+        documents.top_reviews(named.join(texts, "doc_id"), 600))
