@@ -2,6 +2,7 @@
 
 import collections
 import random
+import threading
 from pathlib import Path
 
 import pandas as pd
@@ -278,3 +279,25 @@ def test_base_documents_copy_no_text(spark):
                                   f"product_id bigint, review_id bigint, rating int, label {LABEL}, doc_id bigint").localCheckpoint()
     assert shuffled(documents.top_reviews_by_text(named, texts, 600)) < 2000 * 600 / 2 < shuffled(
         documents.top_reviews(named.join(texts, "doc_id"), 600))
+
+
+def test_a_text_is_cut_into_tokens_once(spark):
+    df = spark.createDataFrame([("một hai ba",), ("x y",), ("một",), (None,)], "text string")
+    cut = df.select(learning.grams(F.col("text")).alias("g"))
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert [r.g for r in cut.collect()] == [["một", "hai", "ba", "một hai", "hai ba"], [], ["một"], []]
+
+
+def test_models_are_fitted_side_by_side(spark):
+    """Every fit of a size of the vocabulary waits for all others."""
+    data = learning.with_grams(spark.createDataFrame(
+        [(f"tốt đẹp w{i}" if i % 2 else f"xấu tệ w{i}", 2 if i % 2 else 0, "dev" if i % 5 == 0 else "train") for i in range(40)],
+        "text string, quality int, split string"))
+    fits = threading.Barrier(2, timeout=60)
+
+    def fit(rows, target, c):
+        fits.wait()
+        return learning.fit_logreg(rows, target, c)
+
+    runs, _ = learning.grid_search(data, ["quality"], fit, {"max_features": [50], "c": [0.1, 1.0]})
+    assert [r.settings for r in runs.collect()] == [str({"max_features": 50, "c": c}) for c in (0.1, 1.0)]
