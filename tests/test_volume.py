@@ -134,6 +134,32 @@ def test_cleaning_walks_a_text_a_few_times(spark):
     assert str(text.clean_review_text(F.col("t"))._jc.toString()).count("regexp_replace(") <= 4
 
 
+def test_cleaning_leaves_no_pattern_to_the_matcher_of_java(spark, monkeypatch):
+    """Whatever the slices of a batch; a letter beyond the first plane is a letter of its word, as in SQL."""
+    assert "regexp" not in str(text.clean_review_text(F.col("t"))._jc.toString())
+    rows = ["\U0001d41asp", "sp sp sp", "1.2/3.x", None, "", "KO  thanks\u3000đc!"] * 3
+    for size in (1, 20, 1 << 20):
+        assert [*text._cleaned.func(pd.Series([(r or "").lower() for r in rows]))] == [
+            "sp", "sản phẩm sản phẩm sản phẩm", "123 x", "", "", "không cảm ơn được"] * 3
+        monkeypatch.setattr(text, "CLEANED_BYTES", size)
+    assert text._cleaned.func(pd.Series([], dtype=object)).empty
+    got = spark.createDataFrame([(r,) for r in rows], "t string").coalesce(1).select(text.clean_review_text(F.col("t")).alias("t"))
+    assert [r.t for r in got.collect()][:3] == ["sp", "sản phẩm sản phẩm sản phẩm", "123 x"]
+
+
+def test_files_of_splits_are_written_side_by_side(spark, folder, monkeypatch):
+    """A task that sorts its texts by split spills them; files of a split may lie in any order."""
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.json
+    monkeypatch.setattr(DataFrameWriter, "json", lambda self, path: (seen.append(int(spark.conf.get(key))), write(self, path))[1])
+    rows = spark.range(90).select(F.col("id").cast("string").alias("text"), *[F.lit("none").alias(a) for a in constants.ASPECTS], F.element_at(
+        F.array(*map(F.lit, ("train", "dev", "test"))), (F.col("id") % 3 + 1).cast("int")).alias("split")).coalesce(1)
+    before = spark.conf.get(key)
+    files.write_dataset(rows, folder, "v2")
+    assert seen[0] >= 3 and spark.conf.get(key) == before
+    got = files.read_dataset(spark, folder)
+    assert got.count() == 90 and got.select("text", "split").exceptAll(rows.select("text", "split")).isEmpty()
+
+
 def test_a_user_has_one_timer(spark):
     """However many sessions are open, the first end alone is set; what has ended by then comes out at once."""
     minute = 60_000_000
