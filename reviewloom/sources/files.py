@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..constants import ASPECTS, DETAIL_FIELDS
+from ..session import settings
 
 RAW_REVIEW = "product_id bigint, customer_name string, rating int, content string, created_at timestamp"
 CLEAN_REVIEW = RAW_REVIEW + ", clean_content string"
@@ -56,8 +57,10 @@ def read_json_array(spark: SparkSession, path, schema: str) -> DataFrame:
 
 
 def write_dataset(split: DataFrame, path: str, version: str) -> None:
-    """A split dataset below ``version=<v>/split=<train|dev|test>``."""
-    split.withColumn("version", F.lit(version)).write.options(**_GZIP).partitionBy("version", "split").json(path)
+    """A split dataset below ``version=<v>/split=<train|dev|test>``. A task holds the files of its splits open side by
+    side, so that its texts are not sorted by split."""
+    with settings(split.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": 8}):
+        split.withColumn("version", F.lit(version)).write.options(**_GZIP).partitionBy("version", "split").json(path)
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
