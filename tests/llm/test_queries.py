@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 import brute
 import corpus_pipeline
 from reviewloom.llm import (
-    chat_format, embedding_dedup, html_extract, minhash_dedup, mixing, packing, quality_rules, sharding, url_filter, warc,
+    chat_format, embedding_dedup, html_extract, minhash_dedup, mixing, packing, quality_rules, queries, sharding, url_filter, warc,
 )
 from reviewloom.llm.queries import CHAT_TOKENIZER, QUERIES, TOKENIZER, URL_RULES
 from reviewloom.session import materialize
@@ -509,6 +509,16 @@ def test_long_shared_beginnings_are_side_by_side(spark):
     assert len(trees) > 3 and emitted <= 400 + 3 * (20 + len(trees)) + 10 * len(trees)
 
 
+def test_long_rows_are_read_a_few_at_a_time(spark, monkeypatch):
+    """Sequences by the thousands in a batch took more than an executor's memory."""
+    keys, seen = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch"), {}
+    before = [spark.conf.get(k) for k in keys]
+    store = lambda df, purpose: (seen.update({purpose: max(int(spark.conf.get(k)) for k in keys)}), materialize(df, purpose))[1]
+    monkeypatch.setattr(queries, "materialize", store)
+    assert QUERIES["op8_prefix_trees"](spark, SF).count() > 0
+    assert seen["sequences"] <= 64 and seen["read-back"] <= 64 and [spark.conf.get(k) for k in keys] == before
+
+
 # 9: mixing
 
 def check_mix(rows, want_sizes, targets):
