@@ -101,6 +101,21 @@ def test_review_pages_are_made_without_a_shuffle_of_texts(spark, tables):
     assert got.count() == 1600 and got.select(F.length(F.trim("content"))).agg(F.max("length(trim(content))")).first()[0] <= 3000
 
 
+def test_review_pages_send_texts_whole_beyond_the_limit_of_spark(spark, tables, monkeypatch):
+    """By the bytes of the texts; where these are too many, they are shuffled."""
+    key, rows = "spark.sql.autoBroadcastJoinThreshold", lambda: project_queries.flatten_reviews(spark, tables)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        assert shuffled(project_queries.raw_review_pages(spark, tables)) < 2000 * 1000
+        got = rows().localCheckpoint()
+        monkeypatch.setattr(bindings, "SENT_BYTES", 0)
+        assert shuffled(project_queries.raw_review_pages(spark, tables)) > 2000 * 1000
+        assert got.count() == 1600 and got.exceptAll(rows()).isEmpty()
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_texts_are_stored_compressed(spark, reviews, folder):
     raw = REVIEWS * CHARS
     files.write_csv(reviews.select("product_id", F.lit("n").alias("customer_name"), "rating", "content"), folder + "/csv")
