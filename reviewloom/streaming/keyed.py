@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..constants import MAX_HISTORY
@@ -18,7 +18,8 @@ from . import jobs
 def _with_ttl(keyed, processor: StatefulProcessor, schema: str) -> DataFrame:
     """A job whose state lives as long as its processor says. With a time to live it goes by the clock, and such a
     query has no end: start it with a trigger that goes on, as ``availableNow`` would never be through."""
-    return keyed.transformWithStateInPandas(processor, schema, "append", "processingTime" if processor.ttl else "none")
+    start = keyed.transformWithState if isinstance(processor, CountRows) else keyed.transformWithStateInPandas
+    return start(processor, schema, "append", "processingTime" if processor.ttl else "none")
 
 
 def state(spark: SparkSession, folder: str, name: str, variable: str) -> DataFrame:
@@ -180,23 +181,40 @@ class Counts(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.known = handle.getValueState("known", "review_count bigint", self.ttl)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = self.known.get()[0] if self.known.exists() else -1
-        # Most products have a few scans: plain lists, as every pandas step costs more than that.
-        scans = sorted((x for part in rows for x in zip(part["scan"].tolist(), part["review_count"].tolist())), key=lambda x: x[0])
+    def _changed(self, product: int, scans: list[tuple]) -> list[tuple]:
+        """Changes in (scan, review_count); the last count is kept."""
+        kept = tuple(self.known.get() or ())
+        known = before = kept[0] if kept else -1
         changed = []
-        for scan, count in scans:
+        for scan, count in sorted(scans, key=lambda x: x[0]):
             if count != known:
-                changed.append((key[0], scan, known, count))
+                changed.append((product, scan, known, count))
             known = count
-        self.known.update((int(known),))
+        if not kept or known != before or self.ttl:
+            self.known.update((int(known),))
+        return changed
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # Most products have a few scans: plain lists, as every pandas step costs more than that.
+        changed = self._changed(key[0], [x for part in rows for x in zip(part["scan"].tolist(), part["review_count"].tolist())])
         if changed:
-            yield pd.DataFrame(changed, columns=["product_id", "scan", "previous_count", "current_count"])
+            yield pd.DataFrame(changed, columns=_CHANGE)
 
     def close(self) -> None:
         pass
 
 
+class CountRows(Counts):
+    """The same by plain rows: a frame in and a frame out for every product cost several times what its scans do."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for change in self._changed(key[0], [(r.scan, r.review_count) for r in rows]):
+            yield Row(**dict(zip(_CHANGE, change)))
+
+
+_CHANGE = ["product_id", "scan", "previous_count", "current_count"]
+
+
 def changes(stream: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Products whose review count changed between scans.
 
@@ -205,8 +223,7 @@ def changes(stream: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     (:func:`_with_ttl`), counts -1. A batch touches the products it holds.
     """
     counted = stream.select("product_id", "scan", "review_count").filter("review_count IS NOT NULL AND product_id IS NOT NULL")
-    return _with_ttl(counted.groupBy("product_id"), Counts(ttl_ms),
-                     "product_id bigint, scan bigint, previous_count bigint, current_count bigint")
+    return _with_ttl(counted.groupBy("product_id"), CountRows(ttl_ms), ", ".join(f"{c} bigint" for c in _CHANGE))
 
 
 def count_changes(stream: DataFrame, folder: str) -> DataFrame:
