@@ -7,7 +7,7 @@ from pathlib import Path
 
 import pandas as pd
 import pytest
-from pyspark.sql import DataFrameWriter, functions as F
+from pyspark.sql import DataFrameWriter, Row, functions as F
 
 from reviewloom import constants
 from reviewloom.functions import text
@@ -15,7 +15,7 @@ from reviewloom.operators import documents, learning, lexical_index, merge, rank
 from reviewloom.plans import bindings, merge_queries, project_queries
 from reviewloom.session import materialize
 from reviewloom.sources import files
-from reviewloom.streaming import keyed, knowledge_base
+from reviewloom.streaming import jobs, keyed, knowledge_base
 
 LABEL = "array<struct<aspect:string,sentiment:string>>"
 CHARS, REVIEWS = 5000, 200
@@ -266,6 +266,33 @@ def test_a_product_is_one_frame():
     assert list(counts.handleInputRows((7,), scans((7, 4, 6)), None)) == []
 
 
+def test_counts_are_told_by_rows(spark, folder):
+    """No frame for a product; a count that stays the same is not written again."""
+    counts = keyed.CountRows()
+    counts.init(_Values())
+    scans = lambda *x: iter([Row(product_id=7, scan=s, review_count=n) for s, n in x])
+    assert [tuple(r) for r in counts.handleInputRows((7,), scans((2, 5), (1, 5), (3, 6)), None)] == [(7, 1, -1, 5), (7, 3, 5, 6)]
+    counts.known.update = None
+    assert list(counts.handleInputRows((7,), scans((4, 6)), None)) == []
+    spark.createDataFrame([(1, 1, 4), (2, 1, 0)], "product_id bigint, scan bigint, review_count bigint").write.parquet(folder + "/in")
+    with jobs.rocksdb(spark):
+        plan = keyed.changes(jobs.read(spark, folder + "/in", "product_id bigint, scan bigint, review_count bigint"))
+        assert "InPySpark" in plan._jdf.queryExecution().analyzed().toString()
+    got = keyed.count_changes(jobs.read(spark, folder + "/in", "product_id bigint, scan bigint, review_count bigint"), folder)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 1, -1, 4), (2, 1, -1, 0)]
+
+
+def test_figures_of_a_product_are_one_column(spark):
+    """Every column of a frame costs more than the few rows of a product."""
+    job = knowledge_base.ProductReviews()
+    job.init(_Values())
+    row = (7, 1, 5, "positive", "good", "f.csv", *range(len(knowledge_base.FIGURES)))
+    (out,) = job.handleInputRows((7,), iter([pd.DataFrame([row], columns=[c.split()[0] for c in knowledge_base.NEW.split(", ")])]), None)
+    sent = [c.split()[0] for c in knowledge_base._PACKED.split(", ")]
+    assert len(sent) < 10 and set(sent) <= set(out.columns)
+    assert [x and list(x) for x in out["packed"]] == [[*range(len(knowledge_base.FIGURES))]] * 2 + [None]
+
+
 def test_rare_terms_are_not_shuffled(spark):
     """A few words fill the vocabulary; the many words and pairs of one document each stay where they are."""
     rnd = random.Random(5)
